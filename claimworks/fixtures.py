@@ -62,14 +62,17 @@ def derive_city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_prescriber_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Joins the small sides first, so that order lines move only once."""
+    """Joins the small sides first, so that order lines move only once.
+
+    Lines and orders grow together, so neither is ever broadcast.
+    """
     lines, orders, customers, nations = (
         spark.read.parquet(f"{sf_dir}/{name}.parquet")
         for name in ("lineitem", "orders", "customer", "nation")
     )
     holders = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     owned = orders.join(holders, F.col("o_custkey") == F.col("c_custkey"))
-    rows = lines.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.join(owned.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return schemas.conform(rows.selectExpr(*_aliased(FACT_COLUMNS)), schemas.PRESCRIBER_FACT)
 
 

@@ -1,8 +1,8 @@
 """Missing claim counts become the prescriber's rounded mean.
 
-A window per prescriber would move and sort every row, and put all rows of one
-prescriber into one task.  Means are aggregated instead (partial sums before the
-shuffle) and brought back to the rows that lack a count.
+A window over the rows of a prescriber would move and sort every row, and put all
+rows of one prescriber into one task.  Means are aggregated instead (partial sums
+before the shuffle) and brought back to the rows, or sums, that lack a count.
 
 Filling in twice changes nothing: afterwards a prescriber has a count in every row
 or in none.
@@ -10,10 +10,10 @@ or in none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.plans.workspace import fits_broadcast, write_table
+from claimworks.plans.workspace import Table, write_table
 
 PRESCRIBER = "presc_id"
 CLAIMS = "trx_cnt"
@@ -21,7 +21,7 @@ _MEAN = "mean_claims"
 
 
 def _rounded_mean(total: Column, rows: Column) -> Column:
-    return F.round(F.try_divide(total, rows)).cast("int").alias(_MEAN)
+    return F.round(F.try_divide(total, rows)).cast("int")
 
 
 def claim_sums(rows: DataFrame, *keys: str, **more: Column) -> DataFrame:
@@ -40,24 +40,52 @@ def claim_means(sums: DataFrame) -> DataFrame:
         *[F.sum(name).alias(name) for name in ("known_claims", "known_rows", "missing_rows")]
     )
     return totals.filter((F.col("missing_rows") > 0) & (F.col("known_rows") > 0)).select(
-        PRESCRIBER, _rounded_mean(F.col("known_claims"), F.col("known_rows"))
+        PRESCRIBER, _rounded_mean(F.col("known_claims"), F.col("known_rows")).alias(_MEAN)
     )
 
 
-def imputed_totals(sums: DataFrame) -> DataFrame:
-    """:func:`claim_sums` with the claim total that imputed rows would add up to.
-
-    Both sides of the join read all three measures, so that they share one shuffle.
-    A prescriber with very many ``keys`` is split by the adaptive skew join.
-    """
-    filled = F.col("missing_rows") * F.col(_MEAN)
+def _with_total(sums: DataFrame, mean: Column) -> DataFrame:
+    """The claim total that imputed rows would add up to, in place of the sums."""
+    filled = F.col("missing_rows") * mean
     total = F.when(F.col("known_rows") == 0, filled).otherwise(
         F.col("known_claims") + F.coalesce(filled, F.lit(0))
     )
-    joined = sums.join(claim_means(sums), PRESCRIBER, "left")
-    return joined.withColumn(CLAIMS, total).drop(
-        "known_claims", "known_rows", "missing_rows", _MEAN
+    return sums.withColumn(CLAIMS, total).drop("known_claims", "known_rows", "missing_rows")
+
+
+def city_totals(rows: DataFrame, state: str, city: str) -> DataFrame:
+    """Imputed claim total of each prescriber in each city.
+
+    Rows are summed before the first shuffle.  What a window then gathers for one
+    prescriber is a line per city: limited by the number of cities, however many
+    rows the prescriber has.
+    """
+    sums = claim_sums(rows, state, city)
+    everywhere = Window.partitionBy(PRESCRIBER)
+    mean = _rounded_mean(
+        F.sum("known_claims").over(everywhere), F.sum("known_rows").over(everywhere)
     )
+    return _with_total(sums.withColumn(_MEAN, mean), F.col(_MEAN)).drop(_MEAN)
+
+
+def prescriber_totals(
+    rows: DataFrame, *keys: str, broadcast_bytes: int | None = None, **more: Column
+) -> DataFrame:
+    """Imputed claim total of each prescriber and ``keys``, with ``more`` aggregates.
+
+    Nothing limits how many names or states a (placeholder) prescriber number comes
+    with, so means are joined, not windowed.  Sums are kept as a table, which makes it
+    one pass over the fact; so are means, because the adaptive skew join splits a
+    busy number only if neither side of the join is an aggregation itself.
+    """
+    sums = write_table(claim_sums(rows, *keys, **more), "claim-sums").frame
+    joined = _join_means(sums, write_table(claim_means(sums), "claim-means"), broadcast_bytes)
+    return _with_total(joined, F.col(_MEAN)).drop(_MEAN)
+
+
+def _join_means(rows: DataFrame, means: Table, broadcast_bytes: int | None) -> DataFrame:
+    frame = F.broadcast(means.frame) if means.fits_broadcast(broadcast_bytes) else means.frame
+    return rows.join(frame, PRESCRIBER, "left")
 
 
 def impute_trx(rows: DataFrame, broadcast_bytes: int | None = None) -> DataFrame:
@@ -72,8 +100,8 @@ def impute_trx(rows: DataFrame, broadcast_bytes: int | None = None) -> DataFrame
         F.coalesce(CLAIMS, _MEAN).alias(CLAIMS) if name == CLAIMS else F.col(name)
         for name in rows.columns
     ]
-    if fits_broadcast(means, broadcast_bytes):
-        return rows.join(F.broadcast(means), PRESCRIBER, "left").select(columns)
+    if means.fits_broadcast(broadcast_bytes):
+        return _join_means(rows, means, broadcast_bytes).select(columns)
     known = rows.filter(F.col(CLAIMS).isNotNull())
     missing = rows.filter(F.col(CLAIMS).isNull())
-    return known.unionByName(missing.join(means, PRESCRIBER, "left").select(columns))
+    return known.unionByName(_join_means(missing, means, broadcast_bytes).select(columns))

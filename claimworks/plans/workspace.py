@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,11 +45,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Run ``df`` once, keep it as parquet and return the frame that reads it."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@dataclass(frozen=True)
+class Table:
+    """A written table: the frame that reads it and its size in memory."""
+
+    frame: DataFrame
+    size: int
+
+    def fits_broadcast(self, max_bytes: int | None = None) -> bool:
+        """Whether it is small enough to be copied to every executor."""
+        return self.size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def _value_bytes(field: T.StructField) -> Column:
@@ -57,12 +63,14 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """Size of a written table in memory: 16 bytes per value, plus its text."""
-    row_bytes = sum((_value_bytes(f) for f in table.schema), F.lit(0).cast("long"))
-    return table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+def write_table(df: DataFrame, label: str) -> Table:
+    """Run ``df`` once and keep it as parquet.
 
-
-def fits_broadcast(table: DataFrame, max_bytes: int | None = None) -> bool:
-    """Whether a written table is small enough to be copied to every executor."""
-    return measured_bytes(table) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+    Its size, 16 bytes per value plus the text, is measured by the same job.
+    """
+    path = fresh_path(df.sparkSession, label)
+    row_bytes = sum((_value_bytes(f) for f in df.schema), F.lit(0).cast("long"))
+    measured = Observation()
+    df.observe(measured, F.sum(row_bytes).alias("bytes")).write.parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Table(frame, measured.get["bytes"] or 0)

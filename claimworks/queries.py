@@ -267,7 +267,7 @@ def sink_city_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_object_store_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of one report side by side; the first is written twice."""
     root = fresh_path(spark, "object-store")
-    report = write_table(_city_report(spark, sf_dir), "city-report")
+    report = write_table(_city_report(spark, sf_dir), "city-report").frame
     for stamp in ("2024-01-07_00-00-00", "2024-01-14_00-00-00", "2024-01-07_00-00-00"):
         files.write_run(report, root, "city_report", stamp)
     schema = T.StructType(schemas.CITY_REPORT.fields + [T.StructField("ingested_at", T.StringType())])

@@ -29,11 +29,13 @@ def arrow_types(table) -> dict[str, str]:
 
 def difference(spark_frame, connection, sql: str) -> str | None:
     """None if both agree on columns, types and rows, else what differs."""
-    expected = connection.execute(sql).to_arrow_table()
+    expected = connection.sql(sql).to_arrow_table()
     actual = spark_frame.toArrow()
     if arrow_types(actual) != arrow_types(expected):
         return f"types {arrow_types(actual)} != {arrow_types(expected)}"
-    left, right = _sorted_rows(actual.to_pandas(integer_object_nulls=True)), _sorted_rows(expected.to_pandas(integer_object_nulls=True))
+    left, right = (
+        _sorted_rows(table.to_pandas(integer_object_nulls=True)) for table in (actual, expected)
+    )
     if len(left) != len(right):
         return f"{len(left)} rows != {len(right)} rows"
     for a, b in zip(left, right):
