@@ -35,15 +35,20 @@ def claim_sums(rows: DataFrame, *keys: str, **more: Column) -> DataFrame:
 
 
 def claim_means(sums: DataFrame) -> DataFrame:
-    """Mean of each prescriber that has rows of both kinds, from :func:`claim_sums`."""
-    totals = sums.groupBy(PRESCRIBER).agg(
-        *[F.sum(name).alias(name) for name in ("known_claims", "known_rows", "missing_rows")]
-    )
-    return totals.filter((F.col("missing_rows") > 0) & (F.col("known_rows") > 0)).select(
+    """Mean of each prescriber that has rows of both kinds.
+
+    Takes :func:`claim_sums` with one row per prescriber.
+    """
+    return sums.filter((F.col("missing_rows") > 0) & (F.col("known_rows") > 0)).select(
         PRESCRIBER, _rounded_mean(F.col("known_claims"), F.col("known_rows")).alias(_MEAN)
     )
 
 
+def _sums_per_prescriber(sums: DataFrame) -> DataFrame:
+    names = ("known_claims", "known_rows", "missing_rows")
+    return sums.groupBy(PRESCRIBER).agg(*[F.sum(name).alias(name) for name in names])
+
+
 def _with_total(sums: DataFrame, mean: Column) -> DataFrame:
     """The claim total that imputed rows would add up to, in place of the sums."""
     filled = F.col("missing_rows") * mean
@@ -79,7 +84,8 @@ def prescriber_totals(
     busy number only if neither side of the join is an aggregation itself.
     """
     sums = write_table(claim_sums(rows, *keys, **more), "claim-sums").frame
-    joined = _join_means(sums, write_table(claim_means(sums), "claim-means"), broadcast_bytes)
+    means = write_table(claim_means(_sums_per_prescriber(sums)), "claim-means")
+    joined = _join_means(sums, means, broadcast_bytes)
     return _with_total(joined, F.col(_MEAN)).drop(_MEAN)
 
 

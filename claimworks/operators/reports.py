@@ -87,16 +87,16 @@ with claims as (
   from {fact}
   where npi is not null and drug_name is not null
   group by npi, nppes_provider_state, nppes_provider_city
-), means as (
-  select npi, cast(round(sum(known_claims) / sum(known_rows)) as int) as mean_claims
+), with_mean as (
+  select *, cast(round(try_divide(sum(known_claims) over prescriber,
+                                  sum(known_rows) over prescriber)) as int) as mean_claims
   from claims
-  group by npi
-  having sum(missing_rows) > 0 and sum(known_rows) > 0
+  window prescriber as (partition by npi)
 ), per_city as (
   select state, city, count(*) as presc_counts,
          sum(case when known_rows = 0 then missing_rows * mean_claims
                   else known_claims + coalesce(missing_rows * mean_claims, 0) end) as trx_counts
-  from claims left join means using (npi)
+  from with_mean
   group by state, city
 )
 select upper(d.city) as city, upper(d.state_name) as state_name,

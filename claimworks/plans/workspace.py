@@ -23,7 +23,9 @@ _local_dir: tempfile.TemporaryDirectory | None = None
 
 def work_dir(spark: SparkSession) -> str:
     """Folder of this application below the session's checkpoint directory."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_fallback(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        root = _local_fallback(spark)
     return f"{root.rstrip('/')}/claimworks-{spark.sparkContext.applicationId}"
 
 
