@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.plans.workspace import Table, write_table
+from claimworks.plans.workspace import Lookup, write_lookup, write_table
 
 PRESCRIBER = "presc_id"
 CLAIMS = "trx_cnt"
@@ -83,13 +83,13 @@ def prescriber_totals(
     one pass over the fact; so are means, because the adaptive skew join splits a
     busy number only if neither side of the join is an aggregation itself.
     """
-    sums = write_table(claim_sums(rows, *keys, **more), "claim-sums").frame
-    means = write_table(claim_means(_sums_per_prescriber(sums)), "claim-means")
+    sums = write_table(claim_sums(rows, *keys, **more), "claim-sums")
+    means = write_lookup(claim_means(_sums_per_prescriber(sums)), "claim-means")
     joined = _join_means(sums, means, broadcast_bytes)
     return _with_total(joined, F.col(_MEAN)).drop(_MEAN)
 
 
-def _join_means(rows: DataFrame, means: Table, broadcast_bytes: int | None) -> DataFrame:
+def _join_means(rows: DataFrame, means: Lookup, broadcast_bytes: int | None) -> DataFrame:
     frame = F.broadcast(means.frame) if means.fits_broadcast(broadcast_bytes) else means.frame
     return rows.join(frame, PRESCRIBER, "left")
 
@@ -101,7 +101,7 @@ def impute_trx(rows: DataFrame, broadcast_bytes: int | None = None) -> DataFrame
     theirs without any shuffle.  Otherwise only the rows without a count are
     shuffled; those of one busy prescriber are split by the adaptive skew join.
     """
-    means = write_table(claim_means(claim_sums(rows)), "claim-means")
+    means = write_lookup(claim_means(claim_sums(rows)), "claim-means")
     columns = [
         F.coalesce(CLAIMS, _MEAN).alias(CLAIMS) if name == CLAIMS else F.col(name)
         for name in rows.columns

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.plans.workspace import write_table
+from claimworks.plans.workspace import write_lookup
 
 RANK = "dense_rank"
 
@@ -34,9 +34,9 @@ def with_dense_rank(
 
     The null group and null values count like any other.
     """
-    table = write_table(value_ranks(rows, group, value, n), "value-ranks")
-    ranks = table.frame.select(F.col(group).alias("_group"), F.col(value).alias("_value"), RANK)
+    lookup = write_lookup(value_ranks(rows, group, value, n), "value-ranks")
+    ranks = lookup.frame.select(F.col(group).alias("_group"), F.col(value).alias("_value"), RANK)
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
-    if table.fits_broadcast(broadcast_bytes):
+    if lookup.fits_broadcast(broadcast_bytes):
         ranks = F.broadcast(ranks)
     return rows.join(ranks, same).drop("_group", "_value")

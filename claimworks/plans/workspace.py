@@ -48,8 +48,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 @dataclass(frozen=True)
-class Table:
-    """A written table: the frame that reads it and its size in memory."""
+class Lookup:
+    """A written table to be joined: the frame that reads it, its size in memory."""
 
     frame: DataFrame
     size: int
@@ -65,14 +65,19 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def write_table(df: DataFrame, label: str) -> Table:
-    """Run ``df`` once and keep it as parquet.
+def write_table(df: DataFrame, label: str) -> DataFrame:
+    """Run ``df`` once, keep it as parquet and return the frame that reads it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
-    Its size, 16 bytes per value plus the text, is measured by the same job.
+def write_lookup(df: DataFrame, label: str) -> Lookup:
+    """:func:`write_table` for the side of a join that may turn out small.
+
+    Its size, 16 bytes per value plus the text, is measured by the writing job.
     """
-    path = fresh_path(df.sparkSession, label)
     row_bytes = sum((_value_bytes(f) for f in df.schema), F.lit(0).cast("long"))
     measured = Observation()
-    df.observe(measured, F.sum(row_bytes).alias("bytes")).write.parquet(path)
-    frame = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Table(frame, measured.get["bytes"] or 0)
+    table = write_table(df.observe(measured, F.sum(row_bytes).alias("bytes")), label)
+    return Lookup(table, measured.get["bytes"] or 0)

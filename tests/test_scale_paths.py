@@ -164,7 +164,7 @@ def hot_frame(spark, n=40_000):
         F.when(F.col("id") % 2 == 0, (F.col("id") % 9).cast("int")).alias("trx_cnt"),
         F.col("id"),
     )
-    return workspace.write_table(frame, "hot").frame
+    return workspace.write_table(frame, "hot")
 
 
 def test_busy_prescriber_is_split_when_means_are_not_broadcast(spark, conf):
@@ -197,13 +197,13 @@ def test_top_n_passes_on_few_values_per_task(spark):
 
 def test_size_of_a_written_table_counts_values_and_text(spark):
     frame = spark.createDataFrame([(1, "abc"), (2, None)], "a long, b string")
-    table = workspace.write_table(frame, "sized")
+    table = workspace.write_lookup(frame, "sized")
     assert table.size == 2 * 32 + 3
     assert table.fits_broadcast(67) and not table.fits_broadcast(66)
 
 
 def test_empty_table_has_size_zero(spark):
-    table = workspace.write_table(spark.createDataFrame([], "a long"), "none")
+    table = workspace.write_lookup(spark.createDataFrame([], "a long"), "none")
     assert table.size == 0 and table.frame.count() == 0
 
 
