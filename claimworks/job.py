@@ -150,6 +150,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark_session(), args.city, args.fact, [csv_sink(args.out)],
         fact_format=args.fact_format, grain=args.grain,
     )
+    for name, report in (("city", result.city_report), ("prescriber", result.prescriber_report)):
+        log.info("%s report: %s", name, report.schema.simpleString())
     for row in result.row_counts.collect():
         log.info("%s: %s rows", row.frame_name, row.row_count)
     for row in result.preview.collect():

@@ -152,7 +152,8 @@ ORACLE_SQL: dict[str, str] = {
         {
             "good": f"prescriber_fact where {_GOOD_LINE}",
             "malformed": f"prescriber_fact where not ({_GOOD_LINE})",
-        }
+        },
+        "lines",
     ),
     "clean_city": _all_of("clean_city"),
     "presc_select_rename": _all_of("renamed"),

@@ -94,8 +94,7 @@ def csv_skip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def csv_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _lines_with_errors(spark, sf_dir)
-    good, bad = readers.split_malformed(spark, path, schemas.PRESCRIBER_FACT)
-    return quality.row_counts({"good": good, "malformed": bad})
+    return readers.count_malformed(spark, path, schemas.PRESCRIBER_FACT)
 
 
 # --- cleaning --------------------------------------------------------------

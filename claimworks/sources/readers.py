@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,14 +45,11 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).csv(path, header=True, nullValue=CSV_NULL)
 
 
-def split_malformed(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
-) -> tuple[DataFrame, DataFrame]:
-    """Lines of a CSV with header that fit ``schema``, and the lines that do not.
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> DataFrame:
+    """``row`` and, for lines that do not fit ``schema``, their text.
 
     The whole line is parsed whatever columns a query later selects, so a line is
-    good or bad independently of the query.  The second frame has the raw text in
-    its only column.
+    good or bad independently of the query.
     """
     header = sep.join(schema.names)
     parsed_schema = T.StructType(schema.fields + [T.StructField(BAD_LINE, T.StringType())])
@@ -61,7 +58,25 @@ def split_malformed(
         (F.col("value") != header) & (F.length(F.trim("value")) > 0)
     )
     parsed = lines.select(F.from_csv("value", parsed_schema.toDDL(), options).alias("row"))
-    bad_line: Column = F.col("row")[BAD_LINE]
-    good = parsed.filter(bad_line.isNull()).select([F.col("row")[name].alias(name) for name in schema.names])
-    bad = parsed.filter(bad_line.isNotNull()).select(bad_line.alias(BAD_LINE))
-    return good, bad
+    return parsed.select("row", F.col("row")[BAD_LINE].alias(BAD_LINE))
+
+
+def split_malformed(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+) -> tuple[DataFrame, DataFrame]:
+    """Lines of a CSV with header that fit ``schema``, and the text of those that do not."""
+    parsed = _parsed_lines(spark, path, schema, sep)
+    fields = [F.col("row")[name].alias(name) for name in schema.names]
+    good = parsed.filter(F.col(BAD_LINE).isNull()).select(fields)
+    return good, parsed.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
+
+
+def count_malformed(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+) -> DataFrame:
+    """Number of good and malformed lines, from one pass."""
+    is_bad = F.col(BAD_LINE).isNotNull()
+    counts = _parsed_lines(spark, path, schema, sep).agg(
+        F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("malformed")
+    )
+    return counts.unpivot([], ["good", "malformed"], "lines", "row_count")

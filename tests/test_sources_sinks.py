@@ -78,6 +78,8 @@ def test_selected_columns_do_not_change_which_lines_are_good(spark, messy_csv):
     good, bad = readers.split_malformed(spark, messy_csv[0], schemas.PRESCRIBER_FACT)
     assert good.count() == good.select("npi").count() == len(good.select("npi").collect()) == 2
     assert bad.count() == 3
+    counts = readers.count_malformed(spark, messy_csv[0], schemas.PRESCRIBER_FACT)
+    assert sorted(map(tuple, counts.collect())) == [("good", 2), ("malformed", 3)]
 
 
 def test_each_run_has_its_own_folder(spark, small_report, tmp_path):
