@@ -97,6 +97,7 @@ def run(
     city_format: str = "parquet",
     fact_format: str = "csv",
     grain: str = reports.ROW,
+    normalize_keys: bool = False,
 ) -> Result:
     """Read, clean, report, write and check.
 
@@ -107,17 +108,21 @@ def run(
     city = schemas.conform(read_city_dim(spark, city_path, city_format), schemas.CITY_DIM)
     fact = read_prescriber_fact(spark, fact_path, fact_format)
     if fact_format == "parquet":
-        rows, fact_count = prepare_presc(fact), quality.row_counts({"df_fact": fact})
+        rows = prepare_presc(fact, normalize_keys=normalize_keys)
+        fact_count = quality.row_counts({"df_fact": fact})
     else:
         raw = Observation()
         counted = fact.observe(raw, F.count(F.lit(1)).alias("row_count"))
-        rows = write_table(prepare_presc(counted), "prepared-rows")
+        prepared = prepare_presc(counted, normalize_keys=normalize_keys)
+        rows = write_table(prepared, "prepared-rows")
         fact_count = spark.range(1).select(
-            F.lit("df_fact").alias("frame_name"), F.lit(raw.get["row_count"]).cast("long").alias("row_count")
+            F.lit("df_fact").alias("frame_name"),
+            F.lit(raw.get["row_count"]).cast("long").alias("row_count"),
         )
     quality.require_contract(rows, schemas.CLEAN_PRESC, "cleaned fact")
 
-    city_result = write_table(reports.city_report(clean_city(city), rows), "city-report")
+    city = clean_city(city, normalize_keys)
+    city_result = write_table(reports.city_report(city, rows), "city-report")
     presc_result = write_table(reports.top_prescribers(rows, grain=grain), "prescriber-report")
     expected = schemas.PRESCRIBER_REPORT if grain == reports.ROW else schemas.PRESCRIBER_TOTALS
     quality.require_contract(city_result, schemas.CITY_REPORT, "city report")

@@ -95,6 +95,16 @@ def test_job_fails_on_an_empty_report(spark, cities, fact, tmp_path):
         job.run(spark, f"{tmp_path}/city", f"{tmp_path}/fact", [], fact_format="parquet")
 
 
+def test_job_normalizes_keys_on_request(spark, cities, fact, tmp_path):
+    cities({"state_id": "il"}).write.parquet(f"{tmp_path}/city")
+    rows = fact({"nppes_provider_city": "Springfield", "nppes_provider_state": "Il"})
+    rows.write.parquet(f"{tmp_path}/fact")
+    result = job.run(
+        spark, f"{tmp_path}/city", f"{tmp_path}/fact", [], fact_format="parquet", normalize_keys=True
+    )
+    assert [r.presc_counts for r in result.city_report.collect()] == [1]
+
+
 def test_job_from_the_command_line(spark, tmp_path):
     job.main(
         ["--city", fixtures.city_path(spark, SF_DIR),

@@ -212,18 +212,18 @@ def test_work_dir_is_below_the_checkpoint_folder(spark):
     assert workspace.work_dir(spark).startswith(root)
 
 
-def test_no_local_folder_on_a_cluster():
-    class Context:
-        master = "spark://host:7077"
-        applicationId = "app"
+class SessionWithoutFolder:
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
 
-    class Session:
-        sparkContext = Context()
+def test_no_local_folder_on_a_cluster():
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            workspace.work_dir(SessionWithoutFolder(master))
 
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return default
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace.work_dir(Session())
+def test_local_mode_falls_back_to_one_temporary_folder():
+    first = workspace.work_dir(SessionWithoutFolder("local[4]"))
+    assert first == workspace.work_dir(SessionWithoutFolder("local")) and "claimworks-" in first
