@@ -137,7 +137,7 @@ draws as (
   select d.*, c.parts, c.sums, unnest(range(1, c.parts + 1)) as k
   from documents d join cdf c on d.source is not distinct from c.source),
 drawn as (
-  select doc_id, text, lang, source, n_chars, sum(len(list_filter(sums, s -> s <= u))) as n
+  select doc_id, text, lang, source, n_chars, sum(len(list_filter(sums, lambda s: s <= u))) as n
   from (select *, {draw} as u from draws) group by all),
 copies as (
   select doc_id, text, lang, source, n_chars, unnest(range(0, n::bigint))::int as copy from drawn)
