@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from claimworks import schemas
 from claimworks.plans.workspace import fresh_path
-from claimworks.sinks.files import write_csv
 from claimworks.sources.readers import read_city_dim, read_prescriber_fact
 
 # Expressions that Spark and a second SQL engine both accept (fixed values).
@@ -118,7 +117,7 @@ def prescriber_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """The prescriber fact as the CSV file set that a run starts from."""
     return _written_once(
         spark, sf_dir, "prescriber_csv",
-        lambda path: write_csv(prescriber_fact(spark, sf_dir), path, null_value=""),
+        lambda path: prescriber_fact(spark, sf_dir).write.csv(path, header=True, nullValue=""),
     )
 
 

@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 from claimworks import schemas
 from claimworks.operators import quality, reports
 from claimworks.operators.clean import clean_city, prepare_presc
-from claimworks.plans.workspace import write_table
+from claimworks.plans.workspace import temporary_tables, write_table
 from claimworks.session import spark_session
 from claimworks.sinks import files, tables
-from claimworks.sources.readers import read_city_dim, read_prescriber_fact
+from claimworks.sources.readers import (
+    BAD_LINE, parsed_lines, read_city_dim, read_prescriber_fact, read_report_csv, split_malformed,
+)
 
 log = logging.getLogger(__name__)
 
-# A sink takes a report and its name, "city" or "top5_prescribers".
-Sink = Callable[[DataFrame, str], None]
+# A sink takes a report and its name, "city" or "top5_prescribers", and returns the frame
+# that reads what it has written, or None if it has checked that itself.
+Sink = Callable[[DataFrame, str], DataFrame | None]
 
 
 def preview_order() -> list[Column]:
@@ -37,47 +40,80 @@ def preview_order() -> list[Column]:
 
 
 def csv_sink(root: str) -> Sink:
-    return lambda df, name: files.write_csv(df, f"{root}/{name}.csv")
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}.csv"
+        files.write_csv(df, path)
+        return read_report_csv(df.sparkSession, path, df.schema)
+
+    return write
 
 
 def parquet_sink(root: str) -> Sink:
-    return lambda df, name: files.write_parquet(df, f"{root}/{name}.parquet")
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}.parquet"
+        files.write_parquet(df, path)
+        return _reread(df, path, "parquet")
+
+    return write
+
+
+def _reread(df: DataFrame, path: str, file_format: str) -> DataFrame:
+    if file_format == "csv":
+        return read_report_csv(df.sparkSession, path, df.schema)
+    return df.sparkSession.read.format(file_format).schema(df.schema).load(path)
 
 
 def run_sink(root: str, stamp: str, file_format: str = "parquet") -> Sink:
-    def write(df: DataFrame, name: str) -> None:
-        files.write_run(df, root, name, stamp, file_format)
+    def write(df: DataFrame, name: str) -> DataFrame:
+        return _reread(df, files.write_run(df, root, name, stamp, file_format), file_format)
 
     return write
 
 
 def create_once_sink(root: str, file_format: str = "csv") -> Sink:
-    return lambda df, name: files.write_once(df, f"{root}/{name}.{file_format}", file_format)
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}.{file_format}"
+        files.write_once(df, path, file_format)
+        return _reread(df, path, file_format)
 
+    return write
 
-def table_sink(root: str) -> Sink:
-    def write(df: DataFrame, name: str) -> None:
+
+def table_sink(root: str, database: str | None = None) -> Sink:
+    def write(df: DataFrame, name: str) -> DataFrame:
         table = tables.REPORT_TABLES[name]
-        tables.save_table(df, table, f"{root}/{table}")
+        full = f"{database}.{table}" if database else table
+        tables.save_table(df, full, f"{root}/{table}")
+        return df.sparkSession.table(full)
 
     return write
 
 
 def jdbc_sink(url: str, properties: dict[str, str] | None = None) -> Sink:
     """Load into a database, then compare row counts: a task repeated after its
-    insert was committed would otherwise leave rows twice."""
+    insert was committed would otherwise leave rows twice.  A staging table is loaded and
+    checked first, so a failing load leaves the table that readers use as it was."""
 
     def write(df: DataFrame, name: str) -> None:
-        table = tables.REPORT_TABLES[name]
-        tables.write_jdbc(df, url, table, properties)
-        loaded = tables.read_jdbc(df.sparkSession, url, table, properties).count()
-        expected = df.count()
-        if loaded != expected:
-            raise ValueError(f"{table} holds {loaded} rows after loading {expected}")
+        table, expected = tables.REPORT_TABLES[name], df.count()
+        for target in (f"{table}_staging", table):
+            tables.write_jdbc(df, url, target, properties)
+            loaded = tables.count_jdbc(df.sparkSession, url, target, properties)
+            if loaded != expected:
+                raise ValueError(f"{target} holds {loaded} rows after loading {expected}")
 
     return write
 
 
+def _load(report: DataFrame, name: str, sink: Sink) -> None:
+    """Write one report and check what is there afterwards."""
+    found = sink(report, name)
+    if found is not None:
+        loaded, expected = found.count(), report.count()
+        if loaded != expected or not loaded:
+            raise ValueError(f"{name} holds {loaded} rows after loading {expected}")
+
+
 @dataclass(frozen=True)
 class Result:
     """What a run produced; the frames read written tables."""
@@ -98,62 +134,111 @@ def run(
     fact_format: str = "csv",
     grain: str = reports.ROW,
     normalize_keys: bool = False,
+    bad_lines: str | None = None,
 ) -> Result:
     """Read, clean, report, write and check.
 
     The text of a CSV fact is parsed once, into a parquet table of prepared rows that
-    both reports read.  Each report is computed once, whatever the number of sinks.
-    Counts and preview cost no further pass over the text.  Any error ends the run.
+    both reports read.  Lines that do not fit the contract end the run, unless
+    ``bad_lines`` names a folder for their text (a second pass over the text, if there are
+    any).  Each report is computed once, whatever the number of sinks, and what each sink
+    wrote is counted afterwards.  Work tables are removed at the end.  Any error ends the
+    run.
     """
+    with temporary_tables(spark):
+        return _run(
+            spark, city_path, fact_path, sinks, city_format, fact_format, grain, normalize_keys, bad_lines
+        )
+
+
+def _prepared_csv(
+    spark: SparkSession, path: str, normalize_keys: bool, bad_lines: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """Prepared rows of the good lines, and the numbers of good and malformed ones."""
+    seen = Observation()
+    is_bad = F.col(BAD_LINE).isNotNull()
+    lines = parsed_lines(spark, path, schemas.PRESCRIBER_FACT).observe(
+        seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("malformed")
+    )
+    good = lines.filter(~is_bad).drop(BAD_LINE)
+    rows = write_table(prepare_presc(good, normalize_keys=normalize_keys), "prepared-rows")
+    counts = seen.get
+    if counts["malformed"]:
+        if bad_lines is None:
+            raise ValueError(f"{path} has {counts['malformed']} malformed lines")
+        split_malformed(spark, path, schemas.PRESCRIBER_FACT)[1].write.mode("overwrite").text(bad_lines)
+    named = [("df_fact", counts["good"]), ("malformed_lines", counts["malformed"])]
+    return rows, spark.createDataFrame(named, "frame_name string, row_count long")
+
+
+def _run(
+    spark: SparkSession, city_path: str, fact_path: str, sinks: Sequence[Sink], city_format: str,
+    fact_format: str, grain: str, normalize_keys: bool, bad_lines: str | None,
+) -> Result:
     city = schemas.conform(read_city_dim(spark, city_path, city_format), schemas.CITY_DIM)
-    fact = read_prescriber_fact(spark, fact_path, fact_format)
-    if fact_format == "parquet":
+    if fact_format == "csv":
+        rows, fact_count = _prepared_csv(spark, fact_path, normalize_keys, bad_lines)
+    else:
+        fact = read_prescriber_fact(spark, fact_path, fact_format)
         rows = prepare_presc(fact, normalize_keys=normalize_keys)
         fact_count = quality.row_counts({"df_fact": fact})
-    else:
-        raw = Observation()
-        counted = fact.observe(raw, F.count(F.lit(1)).alias("row_count"))
-        prepared = prepare_presc(counted, normalize_keys=normalize_keys)
-        rows = write_table(prepared, "prepared-rows")
-        fact_count = spark.range(1).select(
-            F.lit("df_fact").alias("frame_name"),
-            F.lit(raw.get["row_count"]).cast("long").alias("row_count"),
-        )
     quality.require_contract(rows, schemas.CLEAN_PRESC, "cleaned fact")
 
     city = clean_city(city, normalize_keys)
-    city_result = write_table(reports.city_report(city, rows), "city-report")
-    presc_result = write_table(reports.top_prescribers(rows, grain=grain), "prescriber-report")
+    for name, frame in (("city", city), ("fact", rows)):
+        log.info("clean %s: %s", name, frame.schema.simpleString())
+    city_result = write_table(reports.city_report(city, rows), "city-report", keep=True)
+    presc_result = write_table(reports.top_prescribers(rows, grain=grain), "prescriber-report", keep=True)
     expected = schemas.PRESCRIBER_REPORT if grain == reports.ROW else schemas.PRESCRIBER_TOTALS
     quality.require_contract(city_result, schemas.CITY_REPORT, "city report")
     quality.require_contract(presc_result, expected, "prescriber report")
 
     written = {"city": city_result, "top5_prescribers": presc_result}
-    loaded = quality.row_counts(
+    computed = quality.row_counts(
         {tables.REPORT_TABLES[name]: report for name, report in written.items()}, "table_name"
     )
-    quality.require_rows(loaded, "table_name").collect()
+    quality.require_rows(computed, "table_name").collect()  # two rows
     for sink in sinks:
         for name, report in written.items():
-            sink(report, name)
+            _load(report, name, sink)
     counts = quality.row_counts(
         {"df_city": city, "city_report": city_result, "prescriber_report": presc_result}
     ).unionByName(fact_count)
     return Result(city_result, presc_result, counts, quality.preview(presc_result, preview_order()))
 
 
+SINKS = ("csv", "parquet", "table", "run", "once")
+
+
+def _sink(kind: str, root: str, stamp: str | None) -> Sink:
+    if kind == "run":
+        if stamp is None:
+            raise ValueError("the run sink needs --stamp")
+        return run_sink(f"{root}/runs", stamp)
+    makers = {"csv": csv_sink, "parquet": parquet_sink, "table": table_sink, "once": create_once_sink}
+    folder = {"table": f"{root}/tables", "once": f"{root}/once"}.get(kind, root)
+    return makers[kind](folder)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--city", required=True, help="city dimension (parquet)")
     parser.add_argument("--fact", required=True, help="prescriber fact")
     parser.add_argument("--fact-format", default="csv")
-    parser.add_argument("--out", required=True, help="folder of the CSV reports")
+    parser.add_argument("--out", required=True, help="folder of the reports")
+    parser.add_argument("--city-format", default="parquet")
+    parser.add_argument("--sink", action="append", choices=SINKS, help="repeatable; csv if none")
+    parser.add_argument("--stamp", help="name of this run's folder, for the run sink")
+    parser.add_argument("--normalize-keys", action="store_true")
+    parser.add_argument("--bad-lines", help="folder for malformed lines; they end the run if unset")
     parser.add_argument("--grain", default=reports.ROW, choices=[reports.ROW, reports.PRESCRIBER])
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     result = run(
-        spark_session(), args.city, args.fact, [csv_sink(args.out)],
-        fact_format=args.fact_format, grain=args.grain,
+        spark_session(), args.city, args.fact,
+        [_sink(kind, args.out, args.stamp) for kind in args.sink or ["csv"]],
+        city_format=args.city_format, fact_format=args.fact_format, grain=args.grain,
+        normalize_keys=args.normalize_keys, bad_lines=args.bad_lines,
     )
     for name, report in (("city", result.city_report), ("prescriber", result.prescriber_report)):
         log.info("%s report: %s", name, report.schema.simpleString())

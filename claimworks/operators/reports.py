@@ -9,6 +9,7 @@ from claimworks import schemas
 from claimworks.functions import token_count
 from claimworks.operators.impute import city_totals, impute_trx, prescriber_totals
 from claimworks.operators.rank import RANK, with_dense_rank
+from claimworks.plans.workspace import write_table
 
 ROW, PRESCRIBER = "row", "prescriber"
 
@@ -47,10 +48,11 @@ def city_report(city: DataFrame, rows: DataFrame) -> DataFrame:
 def in_experience_range(rows: DataFrame, low: int = 20, high: int = 50) -> DataFrame:
     """Rows with ``low`` to ``high`` whole years, both included; unknown years fail.
 
-    As a membership test, because the filter moves down to the scan and parses the
-    experience text there: ``between`` would parse it once for each bound.
+    As a distance from the middle: the filter moves down to the scan, where two bounds
+    would parse the experience text twice.
     """
-    return rows.filter(F.col("years_of_exp").isin(*range(low, high + 1)))
+    off_middle = F.abs(2 * F.col("years_of_exp").cast("long") - (low + high))
+    return rows.filter(off_middle <= high - low)
 
 
 def totals_by_prescriber(rows: DataFrame) -> DataFrame:
@@ -58,8 +60,7 @@ def totals_by_prescriber(rows: DataFrame) -> DataFrame:
     totals = prescriber_totals(
         rows, "presc_fullname", "presc_state", "country_name", "years_of_exp",
         total_day_supply=F.sum("total_day_supply"),
-        # exact, so that the order of adding does not show in the result
-        total_drug_cost=F.sum(F.col("total_drug_cost").cast("decimal(18,2)")).cast("double"),
+        total_drug_cost=F.sum("total_drug_cost"),
     )
     return totals.select(schemas.PRESCRIBER_TOTALS.names)
 
@@ -71,9 +72,14 @@ def top_prescribers(
 
     ``grain='row'`` ranks prescriber-drug rows, ``grain='prescriber'`` ranks
     prescribers by their total.  Takes prepared (or already imputed) fact rows.
+
+    The rows that are ranked are kept as a table of the report's columns, so ranks and rows
+    come from that: the fact is read once for the means and once (twice if the means are
+    too large to be broadcast) for the table.
     """
     if grain == ROW:
         ranked = in_experience_range(impute_trx(rows), low, high)
+        ranked = write_table(ranked.select(schemas.PRESCRIBER_REPORT.names), "ranked-rows")
     elif grain == PRESCRIBER:
         ranked = in_experience_range(totals_by_prescriber(rows), low, high)
     else:

@@ -61,7 +61,7 @@ _CTES = {
       select presc_id, presc_fullname, presc_state, country_name, years_of_exp,
              cast(sum(trx_cnt) as bigint) as trx_cnt,
              cast(sum(total_day_supply) as bigint) as total_day_supply,
-             cast(sum(cast(total_drug_cost as decimal(18, 2))) as double) as total_drug_cost
+             round(sum(total_drug_cost), 2) as total_drug_cost
       from in_range group by all""",
     "presc_report_total": """
       select * exclude (r)
@@ -140,10 +140,21 @@ _PROFILE = "\nunion all ".join(
 
 _GOOD_LINE = "drug_name is not null and nppes_provider_state is not null"
 
+
+
+def _of_good_lines(name: str) -> str:
+    """The frame as it is without the lines that the error fixture spoils."""
+    fact = f"prescriber_fact as ({_CTES['prescriber_fact']})"
+    good = f"prescriber_fact as (select * from all_lines where {_GOOD_LINE})"
+    return _all_of(name).replace(fact, f"all_lines as ({_CTES['prescriber_fact']}),\n{good}")
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_city_dim": _all_of("city_dim"),
     "scan_presc_csv": _all_of("prescriber_fact"),
     "scan_presc_csv_inferred": _all_of("prescriber_fact"),
+    "scan_presc_csv_reordered": _all_of("prescriber_fact"),
+    "scan_presc_csv_wide": _all_of("prescriber_fact"),
     "reload_report": _all_of("presc_report"),
     "csv_skip_malformed": _with(
         ["prescriber_fact"], f"select * from prescriber_fact where {_GOOD_LINE}"
@@ -240,5 +251,15 @@ ORACLE_SQL: dict[str, str] = {
             "city_report": "city_report",
             "prescriber_report": "presc_report",
         }
+    )
+    + "\nunion all select 'malformed_lines' as frame_name, 0::bigint as row_count",
+    "csv_lossless": _with(
+        ["city_dim"],
+        "select city, state_id, population, [' lead', 'trail ', 'a \"b\" c', 'a,b', 'back\\slash', "
+        "'two' || chr(10) || 'lines', '', '\\N', null][(population % 9)::int + 1] as odd from city_dim",
     ),
+    "job_city_report": _all_of("city_report"),
+    "job_prescriber_report": _all_of("presc_report"),
+    "job_with_bad_lines": _of_good_lines("city_report"),
+    "job_with_bad_lines_rows": _of_good_lines("presc_report"),
 }

@@ -1,7 +1,8 @@
 """Tables that a plan writes once and reads again.
 
 They live below the shared folder named by ``spark.checkpoint.dir``, so they
-outlive any executor.  A written table is parquet: later reads are pruned to the
+outlive any executor.  The folder is taken as shared, as its setting says, also where it
+is a mount with a ``file:`` path.  A written table is parquet: later reads are pruned to the
 columns they need and the planner knows the table's true size.
 """
 
@@ -9,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -42,9 +45,30 @@ def _local_fallback(spark: SparkSession) -> str:
     return _local_dir.name
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below :func:`work_dir` that nothing has been written to yet."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+_scopes: list[list[str]] = []
+
+
+def fresh_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A path below :func:`work_dir` that nothing has been written to yet.
+
+    Inside :func:`temporary_tables` it is removed at the end unless ``keep`` is set.
+    """
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes and not keep:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes what is written to fresh paths inside, when it is left."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @dataclass(frozen=True)
@@ -65,9 +89,9 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
+def write_table(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Run ``df`` once, keep it as parquet and return the frame that reads it."""
-    path = fresh_path(df.sparkSession, label)
+    path = fresh_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

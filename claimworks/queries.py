@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,11 +80,35 @@ def _lines_with_errors(spark: SparkSession, sf_dir: str) -> str:
         for name in fact.columns
     ]
     path = fresh_path(spark, "lines-with-errors")
-    header = spark.range(1).select(F.lit(",".join(fact.columns)).alias("value"))
-    fact.select(F.concat_ws(",", *values, surplus).alias("value")).union(header).write.text(path)
+    # one column whose name is the header, which then stands on top of every file
+    lines = fact.select(F.concat_ws(",", *values, surplus).alias(",".join(fact.columns)))
+    lines.write.csv(path, header=True, sep="\x01", quote="", emptyValue="")
     return path
 
 
+def _rewritten_csv(spark: SparkSession, sf_dir: str, label: str, *columns: Column | str) -> DataFrame:
+    """The fact after a trip through a CSV of these columns."""
+    path = fresh_path(spark, label)
+    fixtures.prescriber_fact(spark, sf_dir).select(*columns).write.csv(path, header=True, nullValue="")
+    return readers.read_prescriber_fact(spark, path)
+
+
+@query
+def scan_presc_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with the columns in another order."""
+    return _rewritten_csv(spark, sf_dir, "csv-reordered", *reversed(schemas.PRESCRIBER_FACT.names))
+
+
+@query
+def scan_presc_csv_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with more columns before, between and after."""
+    names = schemas.PRESCRIBER_FACT.names
+    extra = [F.concat(F.lit(f"x{k} "), F.col("npi").cast("string")).alias(f"extra_{k}") for k in range(3)]
+    return _rewritten_csv(
+        spark, sf_dir, "csv-wide", extra[0], *names[:6], extra[1], *names[6:], extra[2]
+    )
+
+
 @query
 def csv_skip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _lines_with_errors(spark, sf_dir)
@@ -198,7 +222,9 @@ def top5_prescribers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top5_prescribers_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_prescribers(_rows(spark, sf_dir), grain=reports.PRESCRIBER)
+    """Costs are rounded here, where the order of adding would show in the comparison."""
+    report = reports.top_prescribers(_rows(spark, sf_dir), grain=reports.PRESCRIBER)
+    return report.withColumn("total_drug_cost", F.round("total_drug_cost", 2))
 
 
 # --- quality ---------------------------------------------------------------
@@ -223,8 +249,9 @@ def dq_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_loaded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _save_tables(spark, sf_dir)
-    return quality.loaded_tables(spark, "prescriber_report, city_report")
+    database = _save_tables(spark, sf_dir)
+    loaded = quality.loaded_tables(spark, f"{database}.prescriber_report, {database}.city_report")
+    return loaded.withColumn("table_name", F.substring_index("table_name", ".", -1))
 
 
 @query
@@ -235,10 +262,15 @@ def preview_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks: write to a new folder, return what a reader finds there ----------
 
 
-def _save_tables(spark: SparkSession, sf_dir: str) -> None:
-    sink = job.table_sink(fresh_path(spark, "tables"))
+def _save_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Saves both reports in a database of this call's own and returns its name."""
+    path = fresh_path(spark, "tables")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {database} location '{path}'")
+    sink = job.table_sink(path, database)
     sink(_city_report(spark, sf_dir), "city")
     sink(_presc_report(spark, sf_dir), "top5_prescribers")
+    return database
 
 
 @query
@@ -288,23 +320,68 @@ def warehouse_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _save_tables(spark, sf_dir)
+    database = _save_tables(spark, sf_dir)
     return spark.sql(
-        """
+        f"""
         select c.state_name, c.cities, c.claims, p.listed_rows, p.top_claims
         from (select state_name, count(*) as cities, sum(trx_counts) as claims
-              from city_report group by state_name) c
+              from {database}.city_report group by state_name) c
         join (select upper(concat('State of ', presc_state)) as state_name,
                      count(*) as listed_rows, max(trx_cnt) as top_claims
-              from prescriber_report group by presc_state) p
+              from {database}.prescriber_report group by presc_state) p
           on c.state_name = p.state_name
         """
     )
 
 
+@query
+def csv_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with blanks at both ends, quotes, separators, backslashes, line breaks, '' and null."""
+    odd = ["' lead'", "'trail '", "'a \"b\" c'", "'a,b'", "'back\\\\slash'", "'two\\nlines'", "''", "'\\\\N'", "null"]
+    cities = fixtures.city_dim(spark, sf_dir)
+    picked = F.expr(f"element_at(array({', '.join(odd)}), cast(population % {len(odd)} as int) + 1)")
+    rows = cities.select("city", "state_id", "population", picked.alias("odd"))
+    path = fresh_path(spark, "csv-lossless")
+    files.write_csv(rows, path)
+    return readers.read_report_csv(spark, path, rows.schema)
+
+
+def _job_report(spark: SparkSession, sf_dir: str, fact: str, name: str, schema: T.StructType, **options: str) -> DataFrame:
+    """One report of a whole run, read back from its CSV sink."""
+    root = fresh_path(spark, "job")
+    job.run(spark, fixtures.city_path(spark, sf_dir), fact, [job.csv_sink(root)], **options)
+    return readers.read_report_csv(spark, f"{root}/{name}.csv", schema)
+
+
 @query
 def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job from its two input files to the CSV reports; returns its row counts."""
     city = fixtures.city_path(spark, sf_dir)
     fact = fixtures.prescriber_csv_path(spark, sf_dir)
     return job.run(spark, city, fact, [job.csv_sink(fresh_path(spark, "job"))]).row_counts
+
+
+@query
+def job_city_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = fixtures.prescriber_csv_path(spark, sf_dir)
+    return _job_report(spark, sf_dir, fact, "city", schemas.CITY_REPORT)
+
+
+@query
+def job_prescriber_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = fixtures.prescriber_csv_path(spark, sf_dir)
+    return _job_report(spark, sf_dir, fact, "top5_prescribers", schemas.PRESCRIBER_REPORT)
+
+
+@query
+def job_with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city report of a run that sets malformed lines aside."""
+    fact, bad = _lines_with_errors(spark, sf_dir), fresh_path(spark, "bad-lines")
+    return _job_report(spark, sf_dir, fact, "city", schemas.CITY_REPORT, bad_lines=bad)
+
+
+@query
+def job_with_bad_lines_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prescriber report of such a run."""
+    fact, bad = _lines_with_errors(spark, sf_dir), fresh_path(spark, "bad-lines")
+    return _job_report(spark, sf_dir, fact, "top5_prescribers", schemas.PRESCRIBER_REPORT, bad_lines=bad)

@@ -78,4 +78,7 @@ def contract_violations(df: DataFrame, schema: T.StructType) -> list[str]:
         for name, kind in wanted.items()
         if name in actual and actual[name] != kind
     ]
-    return missing + extra + retyped
+    moved = []
+    if not missing + extra and list(actual) != list(wanted):
+        moved = [f"columns are ordered {', '.join(actual)}, expected {', '.join(wanted)}"]
+    return missing + extra + retyped + moved

@@ -16,7 +16,13 @@ ADAPTIVE_CONF = {
 def spark_session(
     app_name: str = "claimworks", master: str | None = None, **conf: str
 ) -> SparkSession:
-    """Get or create a session; ``master`` is left to spark-submit when unset."""
+    """The active session as it is, or else a new one.
+
+    ``master`` is left to spark-submit when unset.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

@@ -5,13 +5,32 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimworks.sources.readers import CSV_NULL
+from claimworks.sources.readers import REPORT_CSV, escaped
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> None:
-    """CSV with header; null and ``''`` are kept apart by the default null text."""
-    df.write.mode(mode).csv(path, header=True, nullValue=null_value)
+def _as_lines(df: DataFrame) -> DataFrame:
+    return df.select(
+        [
+            escaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            for f in df.schema
+        ]
+    )
+
+
+def _save(df: DataFrame, path: str, mode: str, file_format: str) -> None:
+    if file_format == "csv":
+        _as_lines(df).write.mode(mode).options(**REPORT_CSV).csv(path)
+    else:
+        df.write.mode(mode).format(file_format).save(path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV with header that :func:`claimworks.sources.readers.read_report_csv` gives back as
+    it was: null, ``''``, blanks, quotes, backslashes and line breaks."""
+    _save(df, path, mode, "csv")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -27,16 +46,10 @@ def write_run(df: DataFrame, root: str, key: str, stamp: str, file_format: str =
     if not re.fullmatch(r"[0-9A-Za-z_-]+", stamp):
         raise ValueError(f"run stamp {stamp!r} must be letters, digits, '-' and '_' only")
     path = f"{root.rstrip('/')}/{key}/ingested_at={stamp}"
-    writer = df.write.mode("overwrite").format(file_format)
-    if file_format == "csv":
-        writer = writer.options(header=True, nullValue=CSV_NULL)
-    writer.save(path)
+    _save(df, path, "overwrite", file_format)
     return path
 
 
 def write_once(df: DataFrame, path: str, file_format: str = "csv") -> None:
     """Create the target; fail if it is there already (e.g. on ``abfss://``)."""
-    writer = df.write.mode("errorifexists").format(file_format)
-    if file_format == "csv":
-        writer = writer.options(header=True, nullValue=CSV_NULL)
-    writer.save(path)
+    _save(df, path, "errorifexists", file_format)

@@ -11,7 +11,7 @@ REPORT_TABLES = {"city": "city_report", "top5_prescribers": "prescriber_report"}
 
 
 def save_table(df: DataFrame, table: str, path: str) -> None:
-    """Recreate a catalog table whose files lie at ``path``."""
+    """Recreate a catalog table, ``name`` or ``database.name``, whose files lie at ``path``."""
     df.write.mode("overwrite").option("path", path).saveAsTable(table)
 
 
@@ -51,8 +51,10 @@ def write_jdbc(
     rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("overwrite").save()
 
 
-def read_jdbc(
+def count_jdbc(
     spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
-) -> DataFrame:
-    """A database table, e.g. for :func:`claimworks.operators.quality.row_counts`."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **(properties or {})).load()
+) -> int:
+    """Rows of a database table, counted by the database."""
+    query = f"select count(*) as row_count from {table}"
+    reader = spark.read.format("jdbc").options(url=url, query=query, **(properties or {}))
+    return int(reader.load().first()[0])

@@ -1,8 +1,11 @@
+import pathlib
+
 import pytest
 from pyspark.errors import PySparkException
 
 from claimworks import fixtures, job, schemas
 from claimworks.operators import quality, reports
+from claimworks.plans import workspace
 from claimworks.sinks import tables
 from claimworks.sources import readers
 
@@ -37,6 +40,10 @@ def test_empty_table_fails_the_check(spark, tmp_path):
     assert [tuple(r) for r in quality.loaded_tables(spark, "filled").collect()] == [("filled", 2)]
     with pytest.raises(PySparkException, match="no rows in hollow"):
         quality.loaded_tables(spark, "filled, hollow").collect()
+    with pytest.raises(PySparkException, match="no rows in hollow"):
+        quality.loaded_tables(spark, "filled, hollow").count()
+    with pytest.raises(PySparkException, match="no rows in hollow"):
+        quality.loaded_tables(spark, "filled, hollow").select("table_name").collect()
     spark.sql("drop table filled")
     spark.sql("drop table hollow")
 
@@ -67,7 +74,7 @@ def test_job_writes_the_same_reports_to_every_sink(spark, tmp_path):
         spark, fixtures.city_path(spark, SF_DIR), fixtures.prescriber_csv_path(spark, SF_DIR), sinks
     )
     counts = {r.frame_name: r.row_count for r in result.row_counts.collect()}
-    assert counts == {"df_city": 130, "df_fact": 6000, "city_report": 82, "prescriber_report": 280}
+    assert counts == {"df_city": 130, "df_fact": 6000, "city_report": 82, "prescriber_report": 280, "malformed_lines": 0}
     for name, schema in (("city", schemas.CITY_REPORT), ("top5_prescribers", schemas.PRESCRIBER_REPORT)):
         expected = sorted(spark.table(tables.REPORT_TABLES[name]).collect(), key=str)
         for found in (
@@ -116,9 +123,9 @@ def test_job_from_the_command_line(spark, tmp_path):
 
 def test_load_check_notices_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(tables, "write_jdbc", lambda *args: None)
-    monkeypatch.setattr(tables, "read_jdbc", lambda *args: spark.range(4))
+    monkeypatch.setattr(tables, "count_jdbc", lambda *args: 4)
     job.jdbc_sink("jdbc:x")(spark.range(4), "city")
-    with pytest.raises(ValueError, match="city_report holds 4 rows after loading 2"):
+    with pytest.raises(ValueError, match="city_report_staging holds 4 rows after loading 2"):
         job.jdbc_sink("jdbc:x")(spark.range(2), "city")
 
 
@@ -127,3 +134,62 @@ def test_inputs_are_written_again_when_they_are_gone(spark, monkeypatch):
     key = (spark.sparkContext.applicationId, SF_DIR, "city_dim")
     fixtures._written[key] = "/nonexistent/city_dim"
     assert fixtures.city_dim(spark, SF_DIR).count() == 130
+
+
+def test_contract_compares_the_order(fact):
+    frame = fact({})
+    assert schemas.contract_violations(frame, schemas.PRESCRIBER_FACT) == []
+    [problem] = schemas.contract_violations(frame.select(frame.columns[::-1]), schemas.PRESCRIBER_FACT)
+    assert "ordered" in problem
+
+
+def test_malformed_lines_end_the_job_unless_they_are_set_aside(spark, cities, tmp_path):
+    cities({"city": "X"}).write.parquet(f"{tmp_path}/city")
+    line = "1,DOE,JO,X,IL,D,= 30,ASPIRIN,{},30,1.5"
+    text = "\n".join([",".join(schemas.PRESCRIBER_FACT.names), line.format(10), line.format("ten"), "1,DOE", ""])
+    (tmp_path / "fact.csv").write_text(text)
+    inputs = spark, f"{tmp_path}/city", f"{tmp_path}/fact.csv"
+    with pytest.raises(ValueError, match="2 malformed lines"):
+        job.run(*inputs, [])
+    result = job.run(*inputs, [], bad_lines=f"{tmp_path}/bad")
+    assert [r.trx_counts for r in result.city_report.collect()] == [10]
+    counts = {r.frame_name: r.row_count for r in result.row_counts.collect()}
+    assert (counts["df_fact"], counts["malformed_lines"]) == (1, 2)
+    assert sorted(r[0] for r in spark.read.text(f"{tmp_path}/bad").collect()) == sorted(["1,DOE", line.format("ten")])
+
+
+def test_sinks_are_checked_after_writing(spark, cities, fact, tmp_path):
+    cities({"city": "SPRINGFIELD"}).write.parquet(f"{tmp_path}/city")
+    fact({}).write.parquet(f"{tmp_path}/fact")
+    with pytest.raises(ValueError, match="city holds 0 rows after loading 1"):
+        job.run(
+            spark, f"{tmp_path}/city", f"{tmp_path}/fact", [lambda df, name: df.limit(0)], fact_format="parquet"
+        )
+
+
+@pytest.mark.parametrize(
+    "kind, place",
+    [("csv", "city.csv"), ("parquet", "city.parquet"), ("table", "tables/city_report"),
+     ("run", "runs/city/ingested_at=s1"), ("once", "once/city.csv")],
+)
+def test_sinks_from_the_command_line(spark, cities, fact, tmp_path, kind, place):
+    cities({"city": "springfield", "state_id": "il"}).write.parquet(f"{tmp_path}/city")
+    fact({}).write.parquet(f"{tmp_path}/fact")
+    job.main(
+        ["--city", f"{tmp_path}/city", "--fact", f"{tmp_path}/fact", "--fact-format", "parquet",
+         "--out", f"{tmp_path}/out", "--sink", kind, "--stamp", "s1", "--normalize-keys"]
+    )
+    assert (tmp_path / "out" / place / "_SUCCESS").exists()
+    for table in tables.REPORT_TABLES.values():
+        spark.sql(f"drop table if exists {table}")
+
+
+def test_only_the_reports_stay_after_a_run(spark, cities, fact, tmp_path):
+    cities({"city": "SPRINGFIELD"}).write.parquet(f"{tmp_path}/city")
+    fact({}).write.csv(f"{tmp_path}/fact", header=True)
+    folder = pathlib.Path(workspace.work_dir(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    result = job.run(spark, f"{tmp_path}/city", f"{tmp_path}/fact", [])
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert left == {"city-report", "prescriber-report"}
+    assert result.preview.count() == 1

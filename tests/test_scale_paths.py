@@ -227,3 +227,26 @@ def test_no_local_folder_on_a_cluster():
 def test_local_mode_falls_back_to_one_temporary_folder():
     first = workspace.work_dir(SessionWithoutFolder("local[4]"))
     assert first == workspace.work_dir(SessionWithoutFolder("local")) and "claimworks-" in first
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 0])
+def test_row_report_reads_the_fact_three_times_at_most(spark, fact, tmp_path, monkeypatch, broadcast_bytes):
+    """Once for the means, once or twice for the kept rows, never for the ranks."""
+    from claimworks.plans import workspace
+
+    path = f"{tmp_path}/fact"
+    fact({}, {"total_claim_count": None}, {"npi": 2, "total_claim_count": 7}).write.parquet(path)
+    rows = clean.prepare_presc(spark.read.parquet(path))
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", broadcast_bytes)
+    table_scans, write = [], workspace.write_table
+
+    def counted(df, *args, **kwargs):
+        table_scans.append(str(df._jdf.queryExecution().executedPlan()).count("FileScan parquet [npi"))
+        return write(df, *args, **kwargs)
+
+    for module in (workspace, reports):
+        monkeypatch.setattr(module, "write_table", counted)
+    report = reports.top_prescribers(rows)
+    assert sorted(r.trx_cnt for r in report.collect()) == [7, 10, 10]
+    assert f"{path}" not in report._jdf.queryExecution().executedPlan().toString()
+    assert sum(table_scans) <= 3

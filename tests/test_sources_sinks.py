@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import readwriter
 
@@ -40,7 +41,7 @@ def test_parquet_round_trip(spark, small_report, tmp_path):
 def test_fact_csv_round_trip_and_inference(spark, fact, tmp_path):
     written = fact({}, {"npi": None, "total_claim_count": None, "years_of_exp": "N/A"})
     path = f"{tmp_path}/fact"
-    files.write_csv(written, path, null_value="")
+    written.write.csv(path, header=True, nullValue="")
     declared = readers.read_prescriber_fact(spark, path)
     assert declared.schema == schemas.PRESCRIBER_FACT
     assert rows_of(declared) == rows_of(written)
@@ -135,7 +136,64 @@ def test_jdbc_write_options(small_report, monkeypatch):
 
 
 def test_jdbc_without_driver_fails_loudly(spark, small_report):
-    with pytest.raises(Exception, match="(?i)driver"):
+    with pytest.raises(Py4JJavaError, match="(?i)No suitable driver"):
         tables.write_jdbc(small_report, "jdbc:nosuch:db", "t")
-    with pytest.raises((PySparkException, Exception), match="(?i)driver"):
-        tables.read_jdbc(spark, "jdbc:nosuch:db", "t")
+    with pytest.raises(Py4JJavaError, match="(?i)No suitable driver"):
+        tables.count_jdbc(spark, "jdbc:nosuch:db", "t")
+
+
+def test_report_csv_keeps_every_text(spark, tmp_path):
+    texts = [" lead", "trail ", 'a "b"', "a,b", "\\", "\\n", "a\nb", "a\r\nb", "\\\n", "", None, "\\N", '"']
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    files.write_csv(rows, f"{tmp_path}/odd")
+    back = readers.read_report_csv(spark, f"{tmp_path}/odd", rows.schema)
+    assert [r.t for r in back.orderBy("k").collect()] == texts
+
+
+def write_fact(path, names, values):
+    path.write_text("\n".join([",".join(names), ",".join(values[n] for n in names), ""]))
+
+
+VALUES = dict(zip(schemas.PRESCRIBER_FACT.names, "1,DOE,JO,X,IL,D,= 5,ASPIRIN,3,30,1.5".split(","))) | {
+    "note": "n", "other": "o",
+}
+
+
+def test_fact_is_bound_by_its_header(spark, tmp_path):
+    names = ["note", *reversed(schemas.PRESCRIBER_FACT.names), "other"]
+    write_fact(tmp_path / "f.csv", names, VALUES)
+    expected = [(1, "DOE", "JO", "X", "IL", "D", "= 5", "ASPIRIN", 3, 30, 1.5)]
+    path = f"{tmp_path}/f.csv"
+    assert rows_of(readers.read_prescriber_fact(spark, path)) == expected
+    good, bad = readers.split_malformed(spark, path, schemas.PRESCRIBER_FACT)
+    assert (rows_of(good), bad.count()) == (expected, 0)
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    write_fact(tmp_path / "f.csv", schemas.PRESCRIBER_FACT.names[1:], VALUES)
+    with pytest.raises(ValueError, match="lacks columns: npi"):
+        readers.read_prescriber_fact(spark, f"{tmp_path}/f.csv")
+
+
+def test_files_with_different_headers_fail(spark, tmp_path):
+    names = schemas.PRESCRIBER_FACT.names
+    write_fact(tmp_path / "a.csv", names, VALUES)
+    write_fact(tmp_path / "b.csv", names[::-1], VALUES)
+    with pytest.raises(Py4JJavaError, match="CSV header does not conform"):
+        readers.read_prescriber_fact(spark, str(tmp_path)).collect()
+    with pytest.raises(PySparkException, match="another header"):
+        readers.split_malformed(spark, str(tmp_path), schemas.PRESCRIBER_FACT)[0].collect()
+
+
+def test_quoted_header_is_a_header(spark, tmp_path):
+    names = schemas.PRESCRIBER_FACT.names
+    line = ",".join(VALUES[n] for n in names)
+    (tmp_path / "q.csv").write_text(",".join(f'"{n}"' for n in names) + "\n" + line + "\n")
+    good, bad = readers.split_malformed(spark, f"{tmp_path}/q.csv", schemas.PRESCRIBER_FACT)
+    assert (good.count(), bad.count()) == (1, 0)
+
+
+def test_lines_are_parsed_once(spark, messy_csv):
+    good, _ = readers.split_malformed(spark, messy_csv[0], schemas.PRESCRIBER_FACT)
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
