@@ -83,7 +83,8 @@ PARTS = re.compile(r"[a-z]+")
 PRIOR_IN, PRIOR_OUT = 1.0, 1.0
 WORD, TAG = 1.0, 0.2  # score of a sure content word; cost of a tag common in content
 REMOVED = "removed"  # kind of every element that is cut out
-UNSEEN = 5 * TAG  # cost of a kind of tag that no labelled page has, and of what is cut out
+UNSEEN = 5 * TAG  # cost of a kind of tag that no labelled page has
+CUT_OUT = TAG / 4  # cost of an element that is cut out: it says little about what is around it
 
 
 def _noisy(tag: str) -> bool:
@@ -196,7 +197,7 @@ def weights_from(counts: dict[tuple[str, str, bool], int]) -> Weights:
             WORD * share if what == "word" else -max(TAG, math.log((1 - share) / share) * 2)
         )
         if kind.endswith(REMOVED) and what == "tag":
-            out[what, kind] = -UNSEEN
+            out[what, kind] = -CUT_OUT
     return out
 
 
@@ -206,6 +207,8 @@ def _score(weights: Weights, what: str, kind: str) -> float:
         return known
     if what == "word":
         return WORD / 2
+    if kind == REMOVED:
+        return -CUT_OUT
     return -TAG if kind.lstrip("/") in PROSE else -UNSEEN
 
 

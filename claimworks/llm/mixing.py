@@ -26,7 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.plans.workspace import write_lookup
+from claimworks.plans.workspace import write_lookup, write_table
 
 SPLIT = 16.0
 # Running sums reach 1 within double precision at this count for any mean up to SPLIT.
@@ -61,13 +61,13 @@ def rates(docs: DataFrame, weights: Mapping[str | None, float], default: float,
     weight = F.lit(float(default))
     for source, value in weights.items():
         weight = F.when(F.col("source").eqNullSafe(F.lit(source)), F.lit(float(value))).otherwise(weight)
-    weighted = counts.withColumn("weight", weight)
-    total = weighted.agg(F.sum("rows").alias("all_rows"), F.sum("weight").alias("all_weights"))
-    rate = F.col("weight") / F.col("all_weights") * F.col("all_rows") / F.col("rows") * F.lit(float(size))
+    weighted = write_table(counts.withColumn("weight", weight), "mix-counts")
+    total = weighted.agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weights")).first()
+    all_rows, all_weights = F.lit(total["rows"] or 0), F.lit(total["weights"] or 1.0)
+    rate = F.col("weight") / all_weights * all_rows / F.col("rows") * F.lit(float(size))
     parts = F.greatest(F.ceil(F.col("rate") / F.lit(SPLIT)), F.lit(1)).cast("int")
     return (
-        weighted.join(F.broadcast(total))  # one row
-        .select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+        weighted.select("source", rate.alias("rate"))
         .withColumn("parts", parts)
         .withColumn("sums", running_sums(F.col("rate") / F.col("parts")))
     )

@@ -277,10 +277,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     pools = write_table(labelled.mapInArrow(_pool(shared), "quality int, pool binary"), "label-pools")
     # an id may be in the documents several times: the bound holds for rows as well
     found = pools.limit(sample).toPandas()
-    x = np.array([np.frombuffer(p, np.float32) for p in found["pool"]]).reshape(len(found), -1)
-    order = np.lexsort(x.T) if len(x) else np.zeros(0, int)  # independent of row order
-    y = found["quality"].to_numpy(np.float64)
-    return Model(vectors, train(x[order].astype(np.float64), y[order]) if len(x) else _constant(2 * vectors.shape[1] + 2, 0.5))
+    if not len(found):
+        return Model(vectors, _constant(2 * vectors.shape[1] + 2, 0.5))
+    x = np.array([np.frombuffer(p, np.float32) for p in found["pool"]], np.float64)
+    order = np.lexsort(x.T)  # independent of row order
+    return Model(vectors, train(x[order], found["quality"].to_numpy(np.float64)[order]))
 
 
 def _scorer(model: Broadcast, at_least: float | None):
