@@ -11,7 +11,7 @@ A bucket never emits all of its pairs.  First every member is compared with the
 smallest class; the confirmed links are contracted to components.  Only buckets that still
 hold several components are searched further, in blocks of bounded size, by signatures of
 1,024 minima made for just these classes, and only pairs across components that pass the
-sharper estimate leave a block.  So each pair that shares a bucket is either tested or
+sharper estimate, and a comparison of their hashed shingle sets, leave a block.  So each pair that shares a bucket is either tested or
 already connected.
 
 Chance of losing a pair at similarity 0.8: (1 - 0.8^4)^32 = 5e-8 by the bands, and below
@@ -105,7 +105,12 @@ def _band_keys(minima: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _signer(size: int, seed: int, count: int):
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+
+
+def _signer(size: int, seed: int, count: int, with_sets: bool):
     names = lanes(count)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +120,7 @@ def _signer(size: int, seed: int, count: int):
         factors = random.integers(0, 2**32, (count, 1), np.uint32) | np.uint32(1)
         hashes = _WordHashes()
         for batch in batches:
-            found, keys, packed, bands = [], [], [], []
+            found, keys, packed, bands, sets = [], [], [], [], []
             for text in batch.column(1):
                 raw = text.as_py()
                 # on bytes, lower() and split() know ASCII only
@@ -125,6 +130,7 @@ def _signer(size: int, seed: int, count: int):
                     keys.append((0, 0))
                     packed.append(np.zeros(len(names), np.int64))
                     bands.append(np.zeros(0, np.int64))
+                    sets.append(np.zeros(0, np.int64))
                     continue
                 distinct = _shingle_hashes(tokens, size, hashes)
                 minima = _minima(distinct, factors)
@@ -132,25 +138,32 @@ def _signer(size: int, seed: int, count: int):
                 keys.append(np.frombuffer(xxhash.xxh3_128_digest(b" ".join(tokens)), np.int64))
                 packed.append(_packed(minima))
                 bands.append(_band_keys(minima))
+                sets.append(distinct.view(np.int64) if with_sets else np.zeros(0, np.int64))
             keys_of = np.asarray(keys, np.int64).reshape(-1, 2)
             packed_of = np.asarray(packed, np.int64).reshape(-1, len(names))
-            ends = np.cumsum([0, *map(len, bands)], dtype=np.int32)
-            flat = np.concatenate([np.zeros(0, np.int64), *bands])
             columns = {"doc_id": batch.column(0), "n_shingles": pa.array(found, pa.int64())}
             columns |= {f"k{k}": pa.array(keys_of[:, k]) for k in range(2)}
             columns |= {name: pa.array(packed_of[:, k]) for k, name in enumerate(names)}
-            columns["bands"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            columns["bands"] = _lists(bands)
+            if with_sets:
+                columns["shingles"] = _lists(sets)
             yield pa.RecordBatch.from_pydict(columns)
 
     return sign
 
 
-def signatures(docs: DataFrame, size: int = 4, seed: int = 1, hashes: int = HASHES) -> DataFrame:
-    """doc_id, n_shingles, words' digest (k0, k1), packed bits (s0..) and band keys."""
+def signatures(
+    docs: DataFrame, size: int = 4, seed: int = 1, hashes: int = HASHES, with_sets: bool = False
+) -> DataFrame:
+    """doc_id, n_shingles, words' digest (k0, k1), packed bits (s0..) and band keys.
+
+    ``with_sets`` adds the hashed shingles.
+    """
     bits = ", ".join(f"{name} long" for name in lanes(hashes))
     schema = f"doc_id long, n_shingles long, k0 long, k1 long, {bits}, bands array<long>"
+    schema += ", shingles array<long>" * with_sets
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return narrow.mapInArrow(_signer(size, seed, hashes), schema)
+    return narrow.mapInArrow(_signer(size, seed, hashes, with_sets), schema)
 
 
 # --- similarity of packed signatures ------------------------------------------
@@ -239,6 +252,8 @@ def _blocks_compared(percent: int):
         own, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
         # pairs with the smallest member were tested before
         own, other = own[rep[own] != least], other[rep[other] != least]
+        lists = group.column("shingles").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         found_a, found_b = [], []
         one, low = np.uint64(1), np.uint64(_LOW_BITS)
         for x in own:
@@ -250,6 +265,11 @@ def _blocks_compared(percent: int):
             differ = bits[y] ^ bits[x]
             differ = (differ | (differ >> one)) & low
             y = y[WIDE - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) >= limit]
+            mine = flat[ends[x] : ends[x + 1]]
+            both = np.array(
+                [len(np.intersect1d(mine, flat[ends[k] : ends[k + 1]], assume_unique=True)) for k in y], np.int64
+            )
+            y = y[100 * both >= percent * (n[x] + n[y] - both)]
             found_a.append(np.minimum(rep[x], rep[y]))
             found_b.append(np.maximum(rep[x], rep[y]))
         none = np.zeros(0, np.int64)
@@ -261,7 +281,7 @@ def _blocks_compared(percent: int):
 def _across(
     docs: DataFrame, members: DataFrame, roots: DataFrame, size: int, percent: int, seed: int, block: int
 ) -> DataFrame:
-    """Likely pairs (a, b) of one bucket whose classes lie in different components.
+    """Similar pairs (a, b) of one bucket whose classes lie in different components.
 
     Buckets with the same smallest class are searched as one.
     """
@@ -272,8 +292,8 @@ def _across(
     left = labelled.join(mixed, "key", "left_semi").select("least", "rep", "comp").distinct()
     left = write_table(left, "dedup-mixed")
     sized = left.groupBy("least").agg(F.count(F.lit(1)).alias("members"))
-    wide = signatures(_texts_of(docs, left.select(F.col("rep").alias("doc_id"))), size, seed, WIDE)
-    wide = wide.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *lanes(WIDE))
+    wide = signatures(_texts_of(docs, left.select(F.col("rep").alias("doc_id"))), size, seed, WIDE, True)
+    wide = wide.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "shingles", *lanes(WIDE))
     parts = F.ceil(F.col("members") / F.lit(block)).cast("int")
     placed = (
         left.join(sized, "least")
