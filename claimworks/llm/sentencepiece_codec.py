@@ -22,6 +22,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -198,7 +199,7 @@ class Codec:
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(self.spec)
-        self.encoder = WordEncoder(self._encoded, self._encoded, ODD, first_differs=False)
+        self.encoder = WordEncoder(self._encoded, ODD)
         if not self.by_word:
             self.encoder.odd = re.compile("")  # every text whole
         self.bytes_of = [self._bytes_of(piece, kind) for piece, _, kind in self.spec.pieces]
@@ -246,9 +247,15 @@ class Codec:
         return out[1:] if self.spec.dummy_prefix and out.startswith(" ") else out
 
 
+@lru_cache(maxsize=1)
+def codec_of(model: bytes, threads: int, verify: bool) -> Codec:
+    """One codec per worker, whatever the number of its tasks."""
+    return Codec(model, threads, verify)
+
+
 def _coder(model: Broadcast, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model.value, threads)
+        codec = codec_of(model.value, threads, True)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
@@ -294,7 +301,7 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
         model = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model.value, verify=False)
+        codec = codec_of(model.value, THREADS, False)
         for batch in batches:
             texts = [codec.decode(np.array(i or [], "<i4")) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())})

@@ -23,26 +23,30 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyarrow import fs
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimworks.llm.word_encoding import WordEncoder
+from claimworks.llm.word_encoding import Remembered
 from claimworks.plans.workspace import fresh_path, write_table
 
 LENGTH = 2048  # ids of a sequence
 BATCH_ROWS = 128  # sequences of a batch
 END_ID = 0
-TEXTS = 500  # encoded together
-JOINED = 256  # words encoded as one text
+PIECE_BYTES = 4 << 20  # of text encoded at a time
+JOINED = 1024  # words encoded as one text
 
 # A space between two white spaces, or a last one after another: there the tokenizer's
 # white-space runs may reach over the space.
-ODD = re.compile(r"\s (?:\s|$)")
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\pZ]"
+ODD = f"{_WHITE} (?:{_WHITE}|$)"
 
 
 def load_tokenizer(path: str) -> str:
@@ -66,48 +70,137 @@ def vocabulary_type(size: int) -> np.dtype:
     return np.dtype("<u2") if size <= 2**16 else np.dtype("<u4")
 
 
+# The byte-level kind's own way to part words, and its letters for the 256 bytes (fixed).
+PARTS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+# Words that are parted here; what is classed by newer tables is left to the library.
+LATIN = re.compile("[!-~\u00a1-\u024f]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Printable bytes stand for themselves, the others for 256 and up in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (k for k in range(256) if k not in shown)
+    return {k: chr(k) for k in shown} | {k: chr(256 + n) for n, k in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, as bytes of ``dtype``."""
+    """Ids of texts by the tokenizers library.
+
+    For a tokenizer that splits at spaces, a piece of many texts is parted at its spaces and
+    its distinct words are encoded or remembered; the texts are put together again by their
+    words' numbers.  The library's model is called on words that are already parted and
+    spelled in byte letters, many at a time, which spares its tracing of offsets.
+    """
 
     def __init__(self, source: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        settings = json.loads(source)
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = vocabulary_type(self.tokenizer.get_vocab_size())
-        self.begins = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.by_word = splits_at_spaces(settings)
+        self.remembered = Remembered(self._words)
+        if not self.by_word:
+            return
+        letters = byte_letters()
+        self.spelling = letters | {0: letters[32], 32: " "}
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for piece, number in self.tokenizer.get_vocab().items():
-            self.begins[number] = piece[0] == "Ġ"  # the byte-level form of a space
-        if splits_at_spaces(json.loads(source)):
-            self.encode = WordEncoder(self._words, self._texts, ODD, first_differs=True)
-        else:
-            self.encode = self._texts
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            self.begins[number] = piece[0] == letters[32]
+        bare = {**settings, "added_tokens": [], "pre_tokenizer": None, "post_processor": None}
+        self.model = Tokenizer.from_str(json.dumps(bare))
+        self.model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+
+    def _ids(self, tokenizer, texts: list[str]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype) for e in found]
 
-    def _texts(self, texts: list[str]) -> list[bytes]:
-        return [ids.tobytes() for ids in self._ids(texts)]
+    def _spelled(self, words: list[str]) -> str:
+        """Words after a space in byte letters; a space parts what the model must not join."""
+        parted = [w if w.isalpha() else " ".join(PARTS.findall(" " + w)).lstrip(" ") for w in words]
+        # no word holds a space or a control character, so \x00 can mark the leading space
+        raw = ("\x00" + " \x00".join(parted)).encode().decode("latin-1")
+        return raw.translate(self.spelling)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Words after a space, many in one text, parted again at the ids that hold the space."""
+        """Words after a space, many in one text, cut again at the ids that hold the space."""
         out: dict[str, bytes] = {}
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        groups = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
+        latin = [w for w in words if LATIN.fullmatch(w)]
+        groups = [latin[k : k + JOINED] for k in range(0, len(latin), JOINED)]
         width = self.dtype.itemsize
-        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+        for group, ids in zip(groups, self._ids(self.model, [self._spelled(g) for g in groups])):
             starts = np.flatnonzero(self.begins[ids])
-            if len(starts) != len(group):
-                continue
-            raw, cuts = ids.tobytes(), [*(starts * width).tolist(), len(ids) * width]
-            out.update(zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+            if len(starts) == len(group):
+                raw, cuts = ids.tobytes(), [*(starts * width).tolist(), len(ids) * width]
+                out.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
         rest = [w for w in words if w not in out]
-        out.update(zip(rest, self._texts([" " + w for w in rest])))
+        out.update(zip(rest, (i.tobytes() for i in self._ids(self.tokenizer, [" " + w for w in rest]))))
         return [out[w] for w in words]
 
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and the number of ids of each."""
+        counts = np.zeros(len(texts), np.int64)
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False).astype(bool)
+        odd |= not self.by_word
+        usual, parts = np.flatnonzero(~odd), {}
+        whole = np.flatnonzero(odd)
+        for k, ids in zip(whole, self._ids(self.tokenizer, texts.take(pa.array(whole)).to_pylist())):
+            counts[k], parts[int(k)] = len(ids), ids
+        flat = np.zeros(0, self.dtype)
+        if len(usual):
+            flat, counts[usual] = self._joined(texts.take(pa.array(usual)))
+        if not len(whole):
+            return flat, counts
+        pieces = np.split(flat, np.cumsum(counts[usual])[:-1]) if len(usual) else []
+        parts |= dict(zip(usual.tolist(), pieces))
+        return np.concatenate([parts[k] for k in range(len(texts))]).astype(self.dtype), counts
+
+    def _joined(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        # the word that begins a text has no space before it
+        firsts = split.flatten().take(pa.array(bounds[:-1])).to_pylist()
+        known = self.remembered(coded.dictionary.to_pylist())
+        numbers = coded.indices.to_numpy().astype(np.int64)
+        numbers[bounds[:-1]] = len(known) + np.arange(len(firsts))
+        known += [ids.tobytes() for ids in self._ids(self.tokenizer, firsts)]
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        values = np.frombuffer(b"".join(known), self.dtype)
+        found = pa.ListArray.from_arrays(pa.array(ends), pa.array(values)).take(pa.array(numbers))
+        steps = np.concatenate([[0], np.cumsum(lengths[numbers])])
+        return found.flatten().to_numpy(), np.diff(steps[bounds])
+
+
+@lru_cache(maxsize=1)
+def encoder_of(source: str) -> Encoder:
+    """One encoder per worker, whatever the number of its tasks."""
+    return Encoder(source)
+
+
+def pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with about ``PIECE_BYTES`` of text."""
+    sizes = pc.binary_length(batch.column("text")).to_numpy()
+    piece = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
+def with_ends(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The ids with the end id after each text."""
+    out = np.full(len(ids) + len(counts), END_ID, ids.dtype)
+    own = np.ones(len(out), bool)
+    own[np.cumsum(counts) + np.arange(len(counts))] = False
+    out[own] = ids
+    return out
+
 
 # --- files ----------------------------------------------------------------------
 
@@ -209,7 +302,7 @@ def _writer(source: Broadcast, root: str, length: int):
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder(source.value)
+                encoder = encoder_of(source.value)
                 system, folder = fs.FileSystem.from_uri(root)
                 system.create_dir(folder)
                 name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
@@ -217,21 +310,17 @@ def _writer(source: Broadcast, root: str, length: int):
                 sinks = [system.open_output_stream(f"{folder}/{f}") for f in files]
                 writer = SequenceWriter(sinks[0], encoder.dtype, length)
                 spans, documents = pa.ipc.new_stream(sinks[1], SPANS), 0
-                end = np.array([END_ID], encoder.dtype).tobytes()
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                ids = encoder.encode(part.column("text").to_pylist())
-                sizes = [len(i) // encoder.dtype.itemsize + 1 for i in ids]
-                starts = writer.total + np.cumsum([0, *sizes[:-1]])
+            for part in pieces_of(batch):
+                ids, sizes = encoder.encode(part.column("text"))
+                starts = writer.total + np.cumsum([0, *(sizes[:-1] + 1)])
                 spans.write_batch(
                     pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())],
+                        [part.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes + 1, pa.int64())],
                         schema=SPANS,
                     )
                 )
-                for one in ids:
-                    writer.write(one + end)
-                documents += len(ids)
+                writer.write(with_ends(ids, sizes).tobytes())
+                documents += len(sizes)
         if writer is not None:
             writer.close()
             spans.close()

@@ -5,43 +5,72 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-CACHED_WORDS = 300_000
+import numpy as np
+
+CACHED_WORDS = 250_000  # of one generation
+SEEN_BITS = 23  # slots that remember which words were met
+
+
+class Remembered:
+    """Encoded words, remembered from the second batch on that they are met in.
+
+    Most words come once.  The remembered ones live in two generations: when the younger
+    one is full it becomes the older one, and words that are met again move over.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
+        self.encode = encode
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.seen = np.zeros(2**SEEN_BITS, bool)
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        """The encodings of distinct words."""
+        if len(self.known) > CACHED_WORDS:
+            self.older, self.known = self.known, {}
+        if np.count_nonzero(self.seen) > len(self.seen) // 2:
+            self.seen[:] = False
+        known, older = self.known, self.older
+        out = list(map(known.get, words))
+        fresh = []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            ids = older.get(words[k])
+            if ids is None:
+                fresh.append(k)
+            else:
+                known[words[k]] = out[k] = ids
+        new = [words[k] for k in fresh]
+        slots = np.fromiter(map(hash, new), np.int64, len(new)) & (2**SEEN_BITS - 1)
+        again = self.seen[slots].tolist()
+        self.seen[slots] = True
+        for k, word, ids, keep in zip(fresh, new, self.encode(new), again):
+            out[k] = ids
+            if keep:
+                known[word] = ids
+        return out
 
 
 class WordEncoder:
     """Ids of whole texts, joined from the ids of the pieces between their spaces.
 
     Right for tokenizers that never join a space to what stands before it; texts that match
-    ``odd`` are encoded whole.  ``encode_words`` encodes pieces as they stand after a space,
-    ``encode_texts`` whole texts, both to little-endian bytes.  With ``first_differs`` the
-    piece that begins a text is encoded as a text.
+    ``odd`` are encoded whole.  ``encode`` encodes pieces and texts to little-endian bytes.
     """
 
-    def __init__(
-        self,
-        encode_words: Callable[[list[str]], list[bytes]],
-        encode_texts: Callable[[list[str]], list[bytes]],
-        odd: re.Pattern,
-        first_differs: bool,
-    ) -> None:
-        self.encode_words, self.encode_texts, self.odd = encode_words, encode_texts, odd
-        self.first_differs = first_differs
-        self.known: dict[str, bytes] = {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], odd: re.Pattern) -> None:
+        self.encode, self.odd, self.words = encode, odd, Remembered(encode)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        usual = [k for k, text in enumerate(texts) if text and not self.odd.search(text)]
-        whole = [k for k, text in enumerate(texts) if text and self.odd.search(text)]
-        for k, ids in zip(whole, self.encode_texts([texts[k] for k in whole])):
+        usual, whole = [], []
+        for k, text in enumerate(texts):
+            if text:
+                (whole if self.odd.search(text) else usual).append(k)
+        for k, ids in zip(whole, self.encode([texts[k] for k in whole])):
             out[k] = ids
         pieces = [texts[k].split(" ") for k in usual]
-        starts = [p.pop(0) for p in pieces] if self.first_differs else []
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        fresh = list(set().union(*pieces).difference(self.known))
-        self.known.update(zip(fresh, self.encode_words(fresh)))
-        begun = self.encode_texts(starts) if starts else [b""] * len(pieces)
-        known = self.known
-        for k, start, piece in zip(usual, begun, pieces):
-            out[k] = start + b"".join([known[w] for w in piece])
+        distinct = list(set().union(*pieces))
+        ids_of = dict(zip(distinct, self.words(distinct)))
+        for k, piece in zip(usual, pieces):
+            out[k] = b"".join([ids_of[w] for w in piece])
         return out
