@@ -40,7 +40,7 @@ from claimworks.plans.workspace import fresh_path, write_table
 LENGTH = 2048  # ids of a sequence
 BATCH_ROWS = 128  # sequences of a batch
 END_ID = 0
-PIECE_BYTES = 4 << 20  # of text encoded at a time
+PIECE_BYTES = 10 << 20  # of text encoded at a time
 JOINED = 1024  # words encoded as one text
 
 # A space between two white spaces, or a last one after another: there the tokenizer's
@@ -390,9 +390,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """The list dealt out as widely as a shuffle is: small as it is, it stands for much."""
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
+
+
 def read_spans(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files."""
-    spread = files.select("part", "tokens_file", "spans_file", "start").repartition("part")
+    spread = _spread(files.select("part", "tokens_file", "spans_file", "start"))
     return spread.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -417,4 +422,4 @@ def read_sequences(files: DataFrame) -> DataFrame:
                     at += count
 
     schema = "part int, row long, tokens array<int>, mask array<boolean>"
-    return files.select("part", "tokens_file").repartition("part").mapInArrow(run, schema)
+    return _spread(files.select("part", "tokens_file")).mapInArrow(run, schema)
