@@ -40,7 +40,7 @@ from claimworks.plans.workspace import fresh_path, write_table
 LENGTH = 2048  # ids of a sequence
 BATCH_ROWS = 128  # sequences of a batch
 END_ID = 0
-PIECE_BYTES = 10 << 20  # of text encoded at a time
+PIECE_BYTES = 8 << 20  # of text encoded at a time
 JOINED = 1024  # words encoded as one text
 
 # A space between two white spaces, or a last one after another: there the tokenizer's
@@ -321,6 +321,7 @@ def _writer(source: Broadcast, root: str, length: int):
                 )
                 writer.write(with_ends(ids, sizes).tobytes())
                 documents += len(sizes)
+                pa.default_memory_pool().release_unused()
         if writer is not None:
             writer.close()
             spans.close()

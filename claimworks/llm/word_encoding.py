@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHED_WORDS = 400_000  # of one generation
+CACHED_WORDS = 300_000  # of one generation
 SEEN_BITS = 23  # slots that remember which words were met
 
 
