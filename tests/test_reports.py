@@ -1,5 +1,5 @@
 import pytest
-from conftest import executed_plan
+from executed import executed_plan
 
 from claimworks import fixtures, schemas
 from claimworks.operators import clean, reports

@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import executed_plan
+from executed import executed_plan
 from pyspark.sql import functions as F
 
 from claimworks.operators import clean, reports
