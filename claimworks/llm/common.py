@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,31 @@ def shingles(tokens: Column, size: int) -> Column:
 def sample_order(key: Column, seed: int) -> Column:
     """A number that orders rows at random, the same in every run."""
     return F.xxhash64(F.lit(seed), key.cast("string"))
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def hand_back() -> None:
+    """Return memory that this Python worker has freed to the system.
+
+    Workers live on from stage to stage, and allocators keep what was freed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a C library may lack it
+    if trim is not None:
+        trim(0)
+
+
+def handing_back(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, with :func:`hand_back` after every batch and at the end."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        for batch in run(batches):
+            yield batch
+            del batch
+            hand_back()
+        hand_back()
+
+    return wrapped

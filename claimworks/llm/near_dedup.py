@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import let, lower_ascii, shingles, words
+from claimworks.llm.common import handing_back, let, lower_ascii, shingles, words
 from claimworks.plans.workspace import write_lookup, write_table
 
 ROWS = 4  # minima in a band
@@ -42,7 +42,7 @@ HASHES = ROWS * BANDS
 WIDE = 1024  # minima of the classes that a second search compares
 BITS = 2  # kept of each minimum
 BLOCK = 256  # classes of one block of a large bucket
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 CHUNK = 2048  # shingles hashed at a time
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -163,7 +163,7 @@ def signatures(
     schema = f"doc_id long, n_shingles long, k0 long, k1 long, {bits}, bands array<long>"
     schema += ", shingles array<long>" * with_sets
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return narrow.mapInArrow(_signer(size, seed, hashes, with_sets), schema)
+    return narrow.mapInArrow(handing_back(_signer(size, seed, hashes, with_sets)), schema)
 
 
 # --- similarity of packed signatures ------------------------------------------

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimworks.llm.common import sample_order
+from claimworks.llm.common import handing_back, sample_order
 from claimworks.plans.workspace import write_table
 
 ROWS = 32_768
@@ -43,7 +43,7 @@ WINDOW = 2  # neighbours on either side
 BLOCK = 32  # matrix rows that travel together
 SALTS = 16
 SAMPLE = 20_000
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 200_000
 PIECE = 200_000  # tokens handled at a time
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
@@ -132,10 +132,12 @@ def _sum_blocks(rows: int, dim: int):
 def word_vectors(docs: DataFrame, rows: int = ROWS, dim: int = DIM) -> np.ndarray:
     """Unit context vectors (rows x dim) over all documents; zero where no token fell."""
     schema = "block int, sums binary"
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_contexts(rows, dim), schema)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    parts = texts.mapInArrow(handing_back(_contexts(rows, dim)), schema)
+    add = handing_back(_sum_blocks(rows, dim))
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    some = salted.repartition("block", "salt").select("block", "sums").mapInArrow(_sum_blocks(rows, dim), schema)
-    whole = some.repartition("block").mapInArrow(_sum_blocks(rows, dim), schema)
+    some = salted.repartition("block", "salt").select("block", "sums").mapInArrow(add, schema)
+    whole = some.repartition("block").mapInArrow(add, schema)
     total = np.zeros((rows // BLOCK, BLOCK * dim))
     for row in write_table(whole, "word-vectors").collect():  # at most rows x dim numbers
         total[row.block] += np.frombuffer(bytes(row.sums), "<i8")
@@ -274,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     labelled = texts.join(F.broadcast(chosen), "doc_id").select("quality", "text")
     shared = spark.sparkContext.broadcast(vectors)
-    pools = write_table(labelled.mapInArrow(_pool(shared), "quality int, pool binary"), "label-pools")
+    pools = write_table(labelled.mapInArrow(handing_back(_pool(shared)), "quality int, pool binary"), "label-pools")
     # an id may be in the documents several times: the bound holds for rows as well
     found = pools.limit(sample).toPandas()
     if not len(found):
@@ -303,7 +305,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(_scorer(shared, None), "doc_id long, score double")
+    scored = texts.mapInArrow(handing_back(_scorer(shared, None)), "doc_id long, score double")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -316,4 +318,4 @@ def accepted(docs: DataFrame, model: Model, at_least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score at least ``at_least``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
-    return docs.mapInArrow(_scorer(shared, at_least), schema)
+    return docs.mapInArrow(handing_back(_scorer(shared, at_least)), schema)

@@ -30,6 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimworks.llm.common import handing_back
 from claimworks.llm.word_encoding import WordEncoder
 
 MARK = "▁"  # stands for a space (fixed value)
@@ -290,7 +291,7 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = THREADS) -
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     return narrow.mapInArrow(
-        _coder(model, threads),
+        handing_back(_coder(model, threads)),
         "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean",
     )
 
@@ -307,5 +308,5 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())})
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(
-        run, "doc_id long, text string"
+        handing_back(run), "doc_id long, text string"
     )
