@@ -9,16 +9,18 @@ order are its text.
 A step is a matrix over (min, +), so a conversation need not be in one place.  Turns are
 range-partitioned by (conv_id, turn): a conversation that holds a third of all rows is spread
 over many partitions.  One pass reduces each partition's part of each conversation to a
-matrix of four by four, the matrices of a conversation are folded in order (one small row
-per partition and conversation), and a second pass traces each part back between its known
-ends.  No task holds more than one part.
+matrix of four by four.  The matrices of a conversation (one small row per partition and
+conversation) are folded in order, its last state is chosen, and a walk back over the parts
+fixes one state at every border, which both neighbours use; a second pass traces each part
+back between its two states.  No task holds more than one part.  With every matrix goes the
+order of its equally cheap paths, so the repair does not depend on where the parts end.
 
 Defined cases: unknown, null or empty roles must be relabelled, at the cost of any other
 relabel (case and blanks around a role are ignored); a null text is an empty one; rows
 without a conversation or a turn number keep a place: nulls sort first; repeated (conv_id,
 turn) rows are separate turns in the order of role and text; ties between repairs go to
-keep, then merge, then relabel, then insertion; a conversation without turns does not
-appear; an empty table gives an empty result; other columns are ignored.
+keep, then merge, then relabel, then insertion, and between states to the first in the order
+of ``ROLES``, from the last turn back; a conversation without turns does not appear; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimworks.plans.workspace import write_table
@@ -131,15 +133,46 @@ def _matrices(costs: Costs) -> np.ndarray:
     return out
 
 
-def fold(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Product of two matrices over (min, +)."""
-    return (left[:, :, None] + right[None, :, :]).min(axis=1)
-
-
 def _unit() -> np.ndarray:
     return np.where(np.eye(4, dtype=bool), 0.0, INF)
 
 
+@dataclass(frozen=True)
+class Part:
+    """Costs of a run of turns by state before and after.
+
+    ``order`` ranks, for each state after, the cheapest paths from the states before as
+    :func:`trace` would: by the states they pass, from the last one back.
+    """
+
+    costs: np.ndarray
+    order: np.ndarray
+
+    @staticmethod
+    def empty() -> Part:
+        return Part(_unit(), np.repeat(np.arange(4)[:, None], 4, axis=1))
+
+    def then(self, step: np.ndarray) -> Part:
+        """The run with one more turn."""
+        total = self.costs[:, :, None] + step[None, :, :]
+        through = total.argmin(axis=1)
+        rank = through * 4 + np.take_along_axis(self.order, through, axis=1)
+        return Part(total.min(axis=1), rank.argsort(axis=0).argsort(axis=0))
+
+
+def borders(parts: list[Part], costs: Costs) -> list[int]:
+    """The state before each part of a conversation, and the last one."""
+    before = [_unit()[START]]
+    for part in parts:
+        before.append((before[-1][:, None] + part.costs).min(axis=0))
+    states = [int((before[-1] + [ending(s, costs)[0] for s in range(4)]).argmin())]
+    for enter, part in zip(before[-2::-1], parts[::-1]):
+        total = enter + part.costs[:, states[-1]]
+        cheapest = np.where(total == total.min(), part.order[:, states[-1]], 4)
+        states.append(int(cheapest.argmin()))
+    return states[::-1]
+
+
 def trace(roles: list[int], enter: np.ndarray, leave: np.ndarray, costs: Costs) -> list[tuple[int, Step]]:
     """The cheapest (state before, step) of each turn.
 
@@ -189,12 +222,12 @@ def segment(before: int, step: Step, text: str, last: bool, costs: Costs, templa
 OUT_ROWS = 4000  # rows of one output batch
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of each part of a conversation; rows arrive in order."""
+def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
+    """The rows of each run of equal keys; rows arrive in order."""
     key, held = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            now = row["part"], row["conv_id"]
+            now = tuple(row[k] for k in keys)
             if held and now != key:
                 yield held
                 held = []
@@ -206,17 +239,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 def _reducer(costs: Costs):
     schema = pa.schema(
-        [("part", pa.int32()), ("conv_id", pa.int64()), ("matrix", pa.list_(pa.float64()))]
+        [
+            ("part", pa.int32()), ("conv_id", pa.int64()), ("matrix", pa.list_(pa.float64())),
+            ("order", pa.list_(pa.int32())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrices, done = _matrices(costs), []
-        for turns in _runs(batches):
-            matrix = _unit()
+        for turns in _runs(batches, "part", "conv_id"):
+            whole = Part.empty()
             for turn in turns:
-                matrix = fold(matrix, matrices[role_number(turn["role"])])
+                whole = whole.then(matrices[role_number(turn["role"])])
             first = turns[0]
-            done.append({"part": first["part"], "conv_id": first["conv_id"], "matrix": matrix.ravel().tolist()})
+            done.append(
+                {
+                    "part": first["part"], "conv_id": first["conv_id"],
+                    "matrix": whole.costs.ravel().tolist(), "order": whole.order.ravel().tolist(),
+                }
+            )
             if len(done) >= OUT_ROWS:
                 yield pa.RecordBatch.from_pylist(done, schema)
                 done = []
@@ -225,45 +266,44 @@ def _reducer(costs: Costs):
     return run
 
 
-def _folded(left: str, right: str) -> str:
-    """SQL for the (min, +) product of a vector of 4 and a flat matrix of 16."""
-    terms = (
-        "least(" + ", ".join(f"{left}[{a}] + {right}[{4 * a + b}]" for a in range(4)) + ")"
-        for b in range(4)
+def _bounder(costs: Costs):
+    schema = pa.schema(
+        [
+            ("part", pa.int32()), ("conv_id", pa.int64()), ("enter", pa.int32()),
+            ("leave", pa.int32()), ("is_end", pa.bool_()),
+        ]
     )
-    return f"array({', '.join(terms)})"
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[dict] = []
+        for rows in _runs(batches, "conv_id"):
+            parts = [
+                Part(np.reshape(r["matrix"], (4, 4)), np.reshape(r["order"], (4, 4))) for r in rows
+            ]
+            states = borders(parts, costs)
+            for k, row in enumerate(rows):
+                done.append(
+                    {
+                        "part": row["part"], "conv_id": row["conv_id"], "enter": states[k],
+                        "leave": states[k + 1], "is_end": k == len(rows) - 1,
+                    }
+                )
+            if len(done) >= OUT_ROWS:
+                yield pa.RecordBatch.from_pylist(done, schema)
+                done = []
+        yield pa.RecordBatch.from_pylist(done, schema)
 
-def _transposed(left: str, right: str) -> str:
-    terms = (
-        "least(" + ", ".join(f"{left}[{4 * a + b}] + {right}[{b}]" for b in range(4)) + ")"
-        for a in range(4)
-    )
-    return f"array({', '.join(terms)})"
+    return run
 
 
 def _ends(parts: DataFrame, costs: Costs) -> DataFrame:
-    """Costs before and after every part of every conversation.
+    """States before and after every part of every conversation.
 
     A conversation has a row per partition it lies in; few lie in more than two.
     """
-    infinite = "double('infinity')"
-    start = f"array(0D, {infinite}, {infinite}, {infinite})"
-    leave = "array(" + ", ".join(f"{ending(s, costs)[0]}D" for s in range(4)) + ")"
-    own = Window.partitionBy("conv_id").orderBy("part")
-    behind = own.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = own.rowsBetween(1, Window.unboundedFollowing)
-    gathered = parts.select(
-        "part", "conv_id",
-        F.collect_list("matrix").over(behind).alias("behind"),
-        F.reverse(F.collect_list("matrix").over(ahead)).alias("ahead"),
-    )
-    return gathered.select(
-        "part", "conv_id",
-        F.expr(f"aggregate(behind, {start}, (v, m) -> {_folded('v', 'm')})").alias("enter"),
-        F.expr(f"aggregate(ahead, {leave}, (v, m) -> {_transposed('m', 'v')})").alias("leave"),
-        (F.size("ahead") == 0).alias("is_end"),
-    )
+    gathered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    schema = "part int, conv_id long, enter int, leave int, is_end boolean"
+    return gathered.mapInArrow(_bounder(costs), schema)
 
 
 OUT = (
@@ -281,7 +321,7 @@ _OUT = pa.schema(
 
 def _traced(turns: list[dict], costs: Costs, template: Template) -> Iterator[dict]:
     first, last = turns[0], len(turns) - 1
-    enter, leave = np.array(first["enter"], float), np.array(first["leave"], float)
+    enter, leave = _unit()[first["enter"]], _unit()[first["leave"]]
     found = trace([role_number(t["role"]) for t in turns], enter, leave, costs)
     for k, (turn, (before, step)) in enumerate(zip(turns, found)):
         ends = k == last and first["is_end"]
@@ -297,7 +337,7 @@ def _traced(turns: list[dict], costs: Costs, template: Template) -> Iterator[dic
 def _tracer(costs: Costs, template: Template):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[dict] = []
-        for turns in _runs(batches):
+        for turns in _runs(batches, "part", "conv_id"):
             done += _traced(turns, costs, template)
             if len(done) >= OUT_ROWS:
                 yield pa.RecordBatch.from_pylist(done, _OUT)
@@ -320,7 +360,7 @@ def format_conversations(
     ranged = write_table(ranged, "chat-turns").select("part", *order)
     # a part of the written table is one range of turns; sorting it again gathers its files
     sorted_parts = ranged.repartition("part").sortWithinPartitions("part", *order)
-    schema = "part int, conv_id long, matrix array<double>"
+    schema = "part int, conv_id long, matrix array<double>, order array<int>"
     roles = sorted_parts.select("part", "conv_id", "role")
     parts = write_table(roles.mapInArrow(_reducer(costs), schema), "chat-parts")
     ends = _ends(parts, costs).withColumnsRenamed({"part": "_part", "conv_id": "_conv"})

@@ -186,6 +186,70 @@ def test_conversations_in_parts(spark):
     assert chat_format.format_conversations(frame.limit(0)).count() == 0
 
 
+def test_parts_of_the_worked_example():
+    costs = chat_format.Costs()
+    numbers = [chat_format.role_number(r) for r in ("user", "assistant", "assistant", "assistant", "assistant")]
+    steps, cost = cut_repair(numbers, [3], costs)
+    assert cost == 3 and steps == chat_format.trace(
+        numbers, chat_format._unit()[0], np.array([chat_format.ending(s, costs)[0] for s in range(4)]), costs
+    )
+
+
+def cut_repair(numbers, cuts, costs):
+    """The repair of a conversation that is cut into parts, and its cost."""
+    pieces = [numbers[a:b] for a, b in itertools.pairwise([0, *cuts, len(numbers)])]
+    parts = []
+    for piece in pieces:
+        whole = chat_format.Part.empty()
+        for role in piece:
+            whole = whole.then(chat_format._matrices(costs)[role])
+        parts.append(whole)
+    states, unit = chat_format.borders(parts, costs), chat_format._unit()
+    steps = []
+    for k, piece in enumerate(pieces):
+        steps += chat_format.trace(piece, unit[states[k]], unit[states[k + 1]], costs)
+    return steps, sum(s.cost for _, s in steps) + chat_format.ending(states[-1], costs)[0]
+
+
+@pytest.mark.parametrize("costs", [chat_format.Costs(), chat_format.Costs(5, 1, 1), chat_format.Costs(1, 9, 1)])
+@pytest.mark.parametrize("seed", range(20))
+def test_cuts_change_no_repair(seed, costs):
+    random = np.random.default_rng(seed)
+    for _ in range(20):
+        roles = [ROLES[k] for k in np.repeat(random.integers(0, 5, 12), random.integers(1, 9, 12))]
+        cuts = sorted(set(random.integers(1, len(roles), random.integers(1, 12)).tolist()))
+        cost, steps = chat_format.repair(roles, costs)
+        assert cut_repair([chat_format.role_number(r) for r in roles], cuts, costs) == (steps, cost)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_runs_over_many_partitions(spark, seed):
+    random = np.random.default_rng(seed)
+    rows = []
+    for conv in range(6):
+        roles = np.repeat(random.integers(0, 5, 60), random.integers(1, 15, 60))
+        rows += [(conv, t, ROLES[k], f"t{t}") for t, k in enumerate(roles)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = chat_format.format_conversations(frame).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    costs, template = chat_format.Costs(), chat_format.Template()
+    for conv in range(6):
+        turns = [r for r in rows if r[0] == conv]
+        _, steps = chat_format.repair([r[2] for r in turns])
+        own = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.turn)
+        assert [r.rendered for r in own] == [
+            chat_format.segment(before, step, turn[3], k == len(turns) - 1, costs, template)
+            for k, (turn, (before, step)) in enumerate(zip(turns, steps))
+        ]
+
+
 def test_rendering():
     [(before, first), (then, second)] = chat_format.repair(["user", "user"])[1]
     costs, template = chat_format.Costs(), chat_format.Template()
