@@ -9,7 +9,12 @@ name and whether its class or id hints at boilerplate, so the table of weights i
 
 Elements that never hold content (scripts, styles, forms, menus, asides, footers, ...) and
 elements whose class or id says so (adverts, comments, notices, ...) are cut out with all
-they contain, also inside the region.
+they contain, also inside the region.  A class or id says so only as a whole: ``ad`` and
+``cookie-notice`` do, ``has-sidebar`` and ``related-work`` are hints that make a kind of their
+own, which is weighed and not cut.  Headings are never cut for a class or id, an id counts on
+boxes only (that of a heading, section or paragraph is made from its title), and no form or
+element with such a class, id or role is cut that holds ``article`` or ``main``, but for comments
+in or after an article.
 
 Defined cases: a null, empty or tag-only page gives an empty text; a page cut off anywhere
 is read to its end; unclosed paragraphs end where the next block begins; without labelled
@@ -69,49 +74,71 @@ NOISE = frozenset(
     "login share sharing social related recommended pagination pager copyright disclaimer legal "
     "skip hidden".split()
 )
+# Those of NOISE whose elements may hold articles: each comment is one (fixed values).
+COMMENTS = frozenset("comment comments disqus reply replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements whose id names a part of the page, not a title in the text (fixed values).
+BOXES = frozenset("div ul ol table td".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)", re.S
 )
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-HINT = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-HIDDEN = re.compile(r"\s(?:hidden(?=[\s>=/])|aria-hidden\s*=\s*[\"']?true)", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 PARTS = re.compile(r"[a-z]+")
 
 # Weights before any page is seen: pseudo-counts inside and outside content.
 PRIOR_IN, PRIOR_OUT = 1.0, 1.0
 WORD, TAG = 1.0, 0.2  # score of a sure content word; cost of a tag common in content
 REMOVED = "removed"  # kind of every element that is cut out
+HINTED = "~"  # ends the kinds of elements that are not, although their class or id has a word of NOISE
 UNSEEN = 5 * TAG  # cost of a kind of tag that no labelled page has
 CUT_OUT = TAG / 4  # cost of an element that is cut out: it says little about what is around it
 
 
-def _noisy(tag: str) -> bool:
-    for name, *values in HINT.findall(tag):
-        value = next((v for v in values if v), "").lower()
-        if name.lower() == "role":
-            if value in ROLES:
-                return True
-        elif any(part in NOISE for part in PARTS.findall(value)):
-            return True
-    return bool(HIDDEN.search(tag))
-
+def _attributes(tag: str) -> dict[str, str]:
+    """Names and values in small letters; the first of several equal names counts."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(tag, NAME.match(tag).end()):
+        out.setdefault(name.lower(), next((v for v in values if v), "").lower())
+    return out
 
-def tokens(page: str) -> list[tuple[str, str]]:
-    """The page as ("tag", kind), ("break", "") and ("text", raw) in order.
 
-    What is cut out leaves one tag, so it separates but says nothing.
-    """
-    out: list[tuple[str, str]] = []
-    open_cut: list[str] = []  # the outermost element that is cut out, and open ones in it
-    in_content = False
+def _hints(name: str, tag: str) -> tuple[set[str], bool]:
+    """Words that say the element is boilerplate, and whether there are mere hints of it."""
+    said, hinted = set(), False
+    given = _attributes(tag)
+    if given.get("role", "").strip() in ROLES:
+        said.add("role")
+    if "hidden" in given or given.get("aria-hidden", "").strip() == "true":
+        said.add("hidden")
+    classes = given.get("class", "").split()
+    for at in ("class", "id"):
+        counts = name not in HEADINGS
+        if at == "id":
+            counts = name in BOXES and "section" not in classes
+        for value in classes if at == "class" else given.get("id", "").split():
+            parts = PARTS.findall(value)
+            noise = NOISE.intersection(parts)
+            hinted |= bool(noise)
+            if counts and noise and len(noise) == len(set(parts)):
+                said |= noise
+    return said, hinted
+
+
+Piece = tuple[str, str, str, bool, bool]
+
+
+def _pieces(page: str) -> list[Piece]:
+    """The page as (text, "", "", ..) and (tag, name, raw text in it, closing, without end tag) in order."""
+    out: list[Piece] = []
     at, end = 0, len(page)
     while at < end:
         found = TOKEN.search(page, at)
         stop = found.start() if found else end
-        if stop > at and not open_cut:
-            out.append(("text", page[at:stop]))
+        if stop > at:
+            out.append((page[at:stop], "", "", False, False))
         if not found:
             break
         at = found.end()
@@ -121,6 +148,61 @@ def tokens(page: str) -> list[tuple[str, str]]:
             continue  # a comment or declaration joins nothing and separates nothing
         name, closing = named.group(1).lower(), tag[1] == "/"
         alone = name in VOID or (tag.endswith("/>") and name not in RAW)
+        raw = ""
+        if not closing and name in RAW and not alone:
+            # up to its own end tag
+            close = re.compile(rf"</{name}\b", re.I).search(page, at)
+            raw = page[at : close.start() if close else end]
+            at += len(raw)
+        out.append((tag, name, raw, closing, alone))
+    return out
+
+
+def _holders(pieces: list[Piece]) -> set[int]:
+    """Places of the start tags whose elements hold ``article`` or ``main``."""
+    out: set[int] = set()
+    opened: list[tuple[int, str]] = []
+    count: Counter = Counter()
+    for at, (_, name, _, closing, alone) in enumerate(pieces):
+        if not name or alone:
+            continue
+        if closing:
+            if count[name]:
+                while True:
+                    _, last = opened.pop()
+                    count[last] -= 1
+                    if last == name:
+                        break
+            continue
+        if name in ENDS_P and opened and opened[-1][1] == "p":
+            opened.pop()
+            count["p"] -= 1
+        if name in CONTENT:
+            for place, _ in reversed(opened):
+                if place in out:
+                    break  # and so are all around it
+                out.add(place)
+        opened.append((at, name))
+        count[name] += 1
+    return out
+
+
+def tokens(page: str) -> list[tuple[str, str]]:
+    """The page as ("tag", kind), ("break", "") and ("text", raw) in order.
+
+    What is cut out leaves one tag, so it separates but says nothing.
+    """
+    out: list[tuple[str, str]] = []
+    open_cut: list[str] = []  # the outermost element that is cut out, and open ones in it
+    content: list[str] = []  # open elements that mark the content
+    had_article = False
+    pieces = _pieces(page)
+    holders = _holders(pieces)
+    for at, (tag, name, raw, closing, alone) in enumerate(pieces):
+        if not name:
+            if not open_cut:
+                out.append(("text", tag))
+            continue
         if open_cut:
             if closing:
                 if name in open_cut:
@@ -137,28 +219,32 @@ def tokens(page: str) -> list[tuple[str, str]]:
                     open_cut.clear()
                 elif name == "body":
                     open_cut.clear()
-                if open_cut and name != "p":
+                if open_cut:
                     open_cut.append(name)
-                elif open_cut:
-                    open_cut.append("p")
         if not open_cut:
-            noisy = name in CUT or (name == "header" and not in_content)
-            if not noisy and not closing and name not in ("html", "body", *CONTENT):
-                noisy = _noisy(tag)
+            said, hinted = set(), False
+            if not closing and name not in ("html", "body", *CONTENT):
+                said, hinted = _hints(name, tag)
+                if at in holders and not (said & COMMENTS and (had_article or "article" in content)):
+                    said = set()
+                if name == "header" and not content and at not in holders:
+                    said.add(name)
+            noisy = bool(said) or (name in CUT and not (name == "form" and at in holders))
             if noisy and not closing and not alone:
                 open_cut.append(name)
             if name in CONTENT:
-                in_content = not closing
+                if not closing:
+                    content.append(name)
+                elif name in content:
+                    while content.pop() != name:
+                        pass
+                    had_article |= name == "article"
             if name not in INLINE:
                 out.append(("break", ""))
-            kind = REMOVED if noisy else name if name in KNOWN else "other"
+            kind = REMOVED if noisy else (name if name in KNOWN else "other") + HINTED * hinted
             out.append(("tag", f"{'/' * closing}{kind}"))
-        if not closing and name in RAW and not alone:
-            # up to its own end tag
-            close = re.compile(rf"</{name}\b", re.I).search(page, at)
-            if not open_cut:
-                out.append(("text", page[at : close.start() if close else end]))
-            at = close.start() if close else end
+        if raw and not open_cut:
+            out.append(("text", raw))
     return out
 
 
@@ -202,14 +288,14 @@ def weights_from(counts: dict[tuple[str, str, bool], int]) -> Weights:
 
 
 def _score(weights: Weights, what: str, kind: str) -> float:
-    known = weights.get((what, kind))
+    known = weights.get((what, kind), weights.get((what, kind.removesuffix(HINTED))))
     if known is not None:
         return known
     if what == "word":
         return WORD / 2
     if kind == REMOVED:
         return -CUT_OUT
-    return -TAG if kind.lstrip("/") in PROSE else -UNSEEN
+    return -TAG if kind.strip("/" + HINTED) in PROSE else -UNSEEN
 
 
 def region(sequence: list[tuple[str, str]], weights: Weights) -> tuple[int, int]:

@@ -81,6 +81,59 @@ def test_page_without_marked_content():
     assert html_extract.extract(page, learned) == html_extract.extract(page, {}) == TEXT
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div class='content has-sidebar'", "div class='site-content no-comments'", "div id='page-header-fixed'",
+        "div class='sidebar'", "div id='header' class='ad'", "div role='banner'", "div aria-hidden='true'",
+        "div data-id='ad' data-role='alert'", "div data-x=' hidden '", "form action='/'", "div title=\"a > class='ad'\"",
+    ],
+)
+def test_wrappers_of_the_content_stay(wrapper):
+    page = PAGE.replace("<article>", f"<{wrapper}><div class='menu main-menu'>Home</div><article>")
+    page = page.replace("</article>", f"</article></{wrapper.split()[0]}>")
+    learned = html_extract.weights_from(html_extract.labelled_counts(page))
+    assert html_extract.extract(page, learned) == html_extract.extract(page, {}) == TEXT
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "h2 id='related-work'", "h2 class='header'", "section id='social-and-legal-history'", "section id='comments'",
+        "p id='notice'", "div class='section' id='legal'", "div data-id='ad'", "div class='no-sidebar'", "p data-hidden",
+    ],
+)
+def test_parts_named_by_their_title_stay(part):
+    name = part.split()[0]
+    page = PAGE.replace("<p>Open", f"<{part}>Named part here</{name}><p>Open")
+    learned = html_extract.weights_from(html_extract.labelled_counts(page))
+    for weights in (learned, {}):
+        assert html_extract.extract(page, weights) == TEXT.replace("Open", "Named part here Open")
+    inner = html_extract.weights_from(html_extract.labelled_counts(PAGE))
+    assert "Named part here" in html_extract.extract(page.replace("article>", "div>"), inner)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "div class='ad'", "p class='x cookie-notice'", "div id=sidebar", "p hidden", "div aria-hidden=true",
+        "div role='alert'", "section class='comments'",
+    ],
+)
+def test_boilerplate_is_cut_whole(part):
+    name = part.split()[0]
+    page = PAGE.replace("<p>Open", f"<{part}>Some <b>words</b> here</{name}><p>Open")
+    assert html_extract.extract(page, {}) == TEXT
+    replies = "<div class='comments'><article><p>First words</p></article></div>"
+    assert html_extract.extract(PAGE.replace("</article>", replies + "</article>"), {}) == TEXT
+    assert html_extract.extract(PAGE.replace("</article>", "</article>" + replies), {}) == TEXT
+
+
+def test_holders_of_deep_pages_are_found_in_one_pass():
+    deep = "<div class='ad'>" * 50_000 + "<article><p>Some words of text here</article>"
+    assert html_extract.extract(deep, {}) == "Some words of text here"
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_region_has_the_largest_sum(seed):
     random = np.random.default_rng(seed)
