@@ -2,8 +2,8 @@
 
 A page is a sequence of tags and words.  Words score positive and tags negative; a linear
 scan finds the contiguous region of the largest sum, which is the content.  The weights
-come from labelled pages, those that mark their content themselves (``article`` or
-``main``): a word scores the share of words after the same kind of tag that are content
+come from labelled pages, those that mark their content themselves (their ``article``
+elements, or ``main`` without any): a word scores the share of words after the same kind of tag that are content
 there, and a tag costs the more the rarer it is inside content.  A kind is the element
 name and whether its class or id hints at boilerplate, so the table of weights is bounded.
 
@@ -63,8 +63,6 @@ ENDS_P = frozenset(
     "blockquote pre figure hr address".split()
 )
 CONTENT = frozenset(("article", "main"))
-# Elements of running text, for those that no labelled page has (fixed values).
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong span br blockquote pre".split())
 # Words in a class or id that mark boilerplate (fixed values).
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
@@ -93,7 +91,6 @@ PRIOR_IN, PRIOR_OUT = 1.0, 1.0
 WORD, TAG = 1.0, 0.2  # score of a sure content word; cost of a tag common in content
 REMOVED = "removed"  # kind of every element that is cut out
 HINTED = "~"  # ends the kinds of elements that are not, although their class or id has a word of NOISE
-UNSEEN = 5 * TAG  # cost of a kind of tag that no labelled page has
 CUT_OUT = TAG / 4  # cost of an element that is cut out: it says little about what is around it
 
 
@@ -251,20 +248,21 @@ def tokens(page: str) -> list[tuple[str, str]]:
 def labelled_counts(page: str) -> Counter | None:
     """(what, kind, inside) -> count of a page that marks its content; None if it does not."""
     sequence = tokens(page)
-    marks = [v for t, v in sequence if t == "tag" and v in CONTENT]
-    if len(marks) != 1:
+    marks = {v for t, v in sequence if t == "tag" and v in CONTENT}
+    if not marks:
         return None
-    inside, last, counts = False, "", Counter()
+    mark = min(marks)  # article before main, which may hold more than the content
+    depth, last, counts = 0, "", Counter()
     for what, value in sequence:
         if what == "tag":
-            if value == "/" + marks[0]:
-                inside = False
-            counts["tag", value, inside] += 1
-            if value == marks[0]:
-                inside = True
+            if value == "/" + mark:
+                depth = max(0, depth - 1)
+            counts["tag", value, depth > 0] += 1
+            if value == mark:
+                depth += 1
             last = value
         elif what == "text":
-            counts["word", last, inside] += len(value.split())
+            counts["word", last, depth > 0] += len(value.split())
     return counts
 
 
@@ -295,7 +293,7 @@ def _score(weights: Weights, what: str, kind: str) -> float:
         return WORD / 2
     if kind == REMOVED:
         return -CUT_OUT
-    return -TAG if kind.strip("/" + HINTED) in PROSE else -UNSEEN
+    return -TAG
 
 
 def region(sequence: list[tuple[str, str]], weights: Weights) -> tuple[int, int]:

@@ -129,6 +129,32 @@ def test_boilerplate_is_cut_whole(part):
     assert html_extract.extract(PAGE.replace("</article>", "</article>" + replies), {}) == TEXT
 
 
+TABLE = "<table>" + ("<tr>" + "<td>one</td>" * 6 + "</tr>") * 20 + "</table>"
+
+
+@pytest.mark.parametrize("around, inside", [("", ""), ("<main><div>Path to here</div>", "</main>"), ("", "<article><p>Two</article>")])
+def test_every_marked_page_teaches(around, inside):
+    page = PAGE.replace("<article>", around + "<article>").replace("</article>", "</article>" + inside)
+    learned = html_extract.labelled_counts(page)
+    # what stands in main around the article is not its content
+    assert learned["word", "h1", True] == 1 and learned["word", "div", True] == 0
+    assert learned["word", "div", False] == 3 * bool(around)
+    assert learned["word", "p", False] == 0 and learned["word", "p", True] == 4 + (not around and bool(inside))
+
+
+def test_main_without_an_article_is_the_label():
+    assert html_extract.labelled_counts(PAGE.replace("article>", "main>"))["word", "p", True] == 4
+    assert html_extract.labelled_counts(PAGE.replace("article>", "div>")) is None
+
+
+@pytest.mark.parametrize("tag", ["article>", "div>"])
+def test_tables_no_labelled_page_has_stay(tag):
+    learned = html_extract.weights_from(html_extract.labelled_counts(PAGE))
+    page = PAGE.replace("<p>Open", TABLE + "<p>Open").replace("article>", tag)
+    expected = TEXT.replace("Open", "one " * 120 + "Open")
+    assert html_extract.extract(page, learned) == html_extract.extract(page, {}) == expected
+
+
 def test_holders_of_deep_pages_are_found_in_one_pass():
     deep = "<div class='ad'>" * 50_000 + "<article><p>Some words of text here</article>"
     assert html_extract.extract(deep, {}) == "Some words of text here"
