@@ -19,7 +19,9 @@ Chance of losing a pair at similarity 0.8: (1 - 0.8^4)^32 = 5e-8 by the bands, a
 
 Defined cases: a text without words has no shingles and is linked with nothing; a text of
 fewer words than a shingle is one shingle; a null ``doc_id`` takes part in nothing and is
-kept (its component is null); rows that repeat an id are judged by their own text each;
+kept (its component is null); rows that repeat an id are judged by their own text each: if
+any id stands for differing words, every row is numbered and takes part under its number, and
+of a component the rows of the smallest id, and of these of one digest of words, are kept;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -339,15 +341,10 @@ def _components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(
-    docs: DataFrame, size: int = 4, percent: int = 80, seed: int = 1, block: int = BLOCK
+def _roots(
+    docs: DataFrame, signed: DataFrame, size: int, percent: int, seed: int, block: int
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document.
-
-    Documents are linked if their sets of ``size``-word shingles share ``percent`` of their
-    union; the smallest id of each component is kept.
-    """
-    signed = write_table(signatures(docs, size, seed), "dedup-signatures")
+    """doc_id, n_shingles, k0, k1 and root of every row; an id stands for the same words only."""
     spoken = signed.filter("n_shingles > 0 and doc_id is not null")
     keys = spoken.groupBy("k0", "k1").agg(F.min("doc_id").alias("rep"))
     keys = write_table(keys, "dedup-classes")
@@ -382,16 +379,65 @@ def near_duplicates(
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     joined = signed.filter(linked).join(final, ["k0", "k1"])
     alone = signed.filter(~linked).withColumn("_root", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", F.col("_root").alias("component_id")]
-    found = joined.select(*columns).unionByName(alone.select(*columns))
-    return found.withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    columns = ["doc_id", "n_shingles", "k0", "k1", F.col("_root").alias("root")]
+    return joined.select(*columns).unionByName(alone.select(*columns))
+
+
+def _ids_clash(signed: DataFrame) -> bool:
+    """Whether an id stands for differing words."""
+    digests = [f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in ("k0", "k1")]
+    by_id = signed.filter("doc_id is not null").groupBy("doc_id").agg(*digests)
+    return not by_id.filter("min_k0 <> max_k0 or min_k1 <> max_k1").isEmpty()
+
+
+def _judged(
+    docs: DataFrame, size: int = 4, percent: int = 80, seed: int = 1, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame | None]:
+    """doc_id, n_shingles, component_id and kept of every row; the numbered rows if ids clash.
+
+    If they do, the judged rows have their number (``_row``) and digest (k0, k1) too.
+    """
+    signed = write_table(signatures(docs, size, seed), "dedup-signatures")
+    if not _ids_clash(signed):
+        found = _roots(docs, signed, size, percent, seed, block).withColumnRenamed("root", "component_id")
+        kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+        return found.drop("k0", "k1").withColumn("kept", kept), None
+    number = F.when(F.col("doc_id").cast("long").isNotNull(), F.monotonically_increasing_id())
+    rows = write_table(docs.withColumn("_row", number), "dedup-rows")
+    single = rows.select(F.col("_row").alias("doc_id"), "text")
+    signed = write_table(signatures(single, size, seed), "dedup-row-signatures")
+    roots = _roots(single, signed, size, percent, seed, block).withColumnRenamed("doc_id", "_row")
+    ids = rows.select("_row", F.col("doc_id").cast("long").alias("doc_id")).filter("_row is not null")
+    found = write_table(roots.join(ids, "_row", "left"), "dedup-row-roots")
+    own = F.struct("doc_id", "k0", "k1")
+    first = found.filter("n_shingles > 0").groupBy("root").agg(F.min(own).alias("first"))
+    found = found.join(first, "root", "left")
+    component = F.coalesce(F.col("first")["doc_id"], F.col("doc_id")).alias("component_id")
+    kept = F.coalesce(own == F.col("first"), F.lit(True)).alias("kept")
+    return found.select("_row", "k0", "k1", "doc_id", "n_shingles", component, kept), rows
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = 4, percent: int = 80, seed: int = 1, block: int = BLOCK
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document.
+
+    Documents are linked if their sets of ``size``-word shingles share ``percent`` of their
+    union; the smallest id of each component is kept.
+    """
+    found, _ = _judged(docs.select("doc_id", "text"), size, percent, seed, block)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one of those that repeat an id."""
-    found = write_table(near_duplicates(docs, **options), "dedup-found")
+    """The rows of ``docs`` that stay, with all their columns; one of those that repeat id and words."""
+    found, rows = _judged(docs, **options)
+    found = write_table(found, "dedup-found")
+    if rows is not None:
+        one = found.filter(F.col("kept") & F.col("_row").isNotNull()).groupBy("doc_id", "k0", "k1")
+        one = one.agg(F.min("_row").alias("_row")).select("_row")
+        kept = rows.join(one, "_row", "left_semi").unionByName(rows.filter("_row is null"))
+        return kept.select(*docs.columns)
     stay = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
     repeated = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
     repeated = write_table(repeated.select("doc_id"), "dedup-repeated")

@@ -295,6 +295,44 @@ def test_one_of_each_group_stays(documents):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(documents):
+    copied, good = "a b c d e f g h", "other words here now and then"
+    docs = documents((3, copied), (9, None), (9, good), (9, copied), (9, good), (None, copied), (7, copied))
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(3, copied), (9, None), (9, good), (None, copied)]
+    )
+    found = near_dedup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == Counter(
+        [(3, 5, 3, True), (9, 0, 9, True), *[(9, 3, 9, True)] * 2, (9, 5, 3, False), (None, 5, None, True), (7, 5, 3, False)]
+    )
+
+
+def test_components_of_clashing_ids_equal_brute_force(documents):
+    random.seed(7)
+    texts = []
+    for _ in range(12):
+        base = random.choices([f"w{k}" for k in range(400)], k=random.randint(20, 60))
+        for _ in range(8):
+            texts.append(" ".join(base))
+            base = [random.choice(base) if random.random() < 0.015 else w for w in base]
+    ids = [random.randrange(30) for _ in texts]
+    roots, counts = components(dict(enumerate(texts)))
+    least = {}
+    for k, root in roots.items():
+        least[root] = min(least.get(root, ids[k]), ids[k])
+    docs = documents(*zip(ids, texts))
+    found = near_dedup.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == Counter(
+        (ids[k], counts[k], least[roots[k]]) for k in roots
+    )
+    kept = near_dedup.one_of_each(docs).collect()  # one row of each component
+    place = {(ids[k], texts[k]): roots[k] for k in roots}
+    assert sorted(place[r.doc_id, r.text] for r in kept) == sorted(set(roots.values()))
+    assert all(least[place[r.doc_id, r.text]] == r.doc_id for r in kept)
+
+
 def test_estimate_is_corrected_for_chance():
     assert near_dedup.similarity(near_dedup.HASHES * near_dedup.chance_agreement()) == 0
     assert near_dedup.similarity(near_dedup.HASHES) == 1
