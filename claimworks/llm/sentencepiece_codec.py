@@ -141,7 +141,11 @@ def build_tokenizer(spec: Spec):
 
     unknown = spec.pieces[spec.unknown_id][0]
     if spec.kind == UNIGRAM:
-        scores = [(piece, score) for piece, score, _ in spec.pieces]
+        # control pieces never stand for text: names with a space match none that is escaped
+        named = (NORMAL, USER_DEFINED, BYTE) if spec.escape_spaces else range(1, 7)
+        scores = [
+            (piece if kind in named else f" {k} ", score) for k, (piece, score, kind) in enumerate(spec.pieces)
+        ]
         model = models.Unigram(scores, spec.unknown_id, spec.byte_fallback)
     else:
         vocabulary = {piece: k for k, (piece, _, _) in enumerate(spec.pieces)}
@@ -157,7 +161,7 @@ def build_tokenizer(spec: Spec):
     if spec.char_map:
         steps.append(normalizers.Precompiled(spec.char_map))
     if spec.squeeze_spaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if spec.dummy_prefix:
         steps.append(normalizers.Prepend(MARK if spec.escape_spaces else " "))
     if spec.escape_spaces:

@@ -228,6 +228,34 @@ def test_sentencepiece_equals_the_library(documents):
     assert sentencepiece_codec.encode_documents(docs.limit(0), queries.PIECES).count() == 0
 
 
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "identity"])
+@pytest.mark.parametrize("fallback", [False, True])
+def test_unigram_models_equal_the_library(rule, fallback):
+    import io
+
+    import sentencepiece
+
+    random.seed(3)
+    some = "ein Haus the house is über ﬁne Ａ½ ① naïve café 日本 語 tokens ß don't Ünï ok a b river stone light".split(" ")
+    lines = [" ".join(random.choices(some, k=random.randint(2, 15))) for _ in range(600)]
+    written = io.BytesIO()
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_writer=written, vocab_size=420 if fallback else 140,
+        model_type="unigram", normalization_rule_name=rule, byte_fallback=fallback, hard_vocab_limit=False,
+        minloglevel=2, num_threads=1,
+    )
+    codec = sentencepiece_codec.Codec(written.getvalue(), threads=1)
+    assert codec.spec.kind == sentencepiece_codec.UNIGRAM and bool(codec.spec.char_map) == (rule != "identity")
+    library = sentencepiece.SentencePieceProcessor(model_proto=written.getvalue())
+    texts = lines[:50] + [t for t in ODD if t and len(t) < 100] + [
+        "", " ", "a  b", " a ", "\t x\ny", "a \t", "ＡＢＣ ½ ﬁ ①", "new 😀 zzz", "a▁b", "\u3000x\xa0y\u200b", "<s> </s> <unk>",
+    ]
+    for text, ids in zip(texts, codec.encode(texts)):
+        assert ids.tolist() == library.encode(text), text
+        assert codec.decode(ids) == library.decode(ids.tolist()), text
+        assert codec.agrees(text)
+
+
 def test_decoding_equals_the_tokenizer():
     data = open(queries.PIECES, "rb").read()
     codec = sentencepiece_codec.Codec(data)
