@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from claimworks.llm import (
     chat_format, html_extract, mixing, near_dedup, quality_classifier, quality_rules,
-    sentencepiece_codec, sharding, spelling_variants, token_files, vector_search,
+    sentencepiece_codec, sharding, spelling_variants, token_counts, token_files,
+    vector_search,
 )
 from claimworks.llm.common import table
 
@@ -81,6 +82,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of all documents with their near words, forms and roots."""
     return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
@@ -90,7 +96,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_vector_search, op2_quality_rules, op3_token_files, op4_quality_classifier, op5_sharding,
-        op6_html_extract, op7_chat_format, op8_mixing, op9_sentencepiece, op10_near_dedup, op13_spelling_variants,
+        op6_html_extract, op7_chat_format, op8_mixing, op9_sentencepiece, op10_near_dedup, op12_token_counts,
+        op13_spelling_variants,
     )
 }
 
