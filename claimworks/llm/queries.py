@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks.llm import (
-    chat_format, html_extract, mixing, near_dedup, quality_classifier, quality_rules,
-    sentencepiece_codec, sharding, spelling_variants, token_counts, token_files,
-    vector_search,
+    chat_format, conversation_audit, html_extract, mixing, near_dedup, quality_classifier,
+    quality_rules, sentencepiece_codec, sharding, spelling_variants, token_counts, token_files, vector_search,
 )
 from claimworks.llm.common import table
 
@@ -82,6 +81,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_conversation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its audit of every damaged conversation."""
+    return conversation_audit.audit_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of all documents."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
@@ -96,12 +100,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_vector_search, op2_quality_rules, op3_token_files, op4_quality_classifier, op5_sharding,
-        op6_html_extract, op7_chat_format, op8_mixing, op9_sentencepiece, op10_near_dedup, op12_token_counts,
-        op13_spelling_variants,
+        op6_html_extract, op7_chat_format, op8_mixing, op9_sentencepiece, op10_near_dedup, op11_conversation_audit,
+        op12_token_counts, op13_spelling_variants,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_mixing": mixing.oracle_sql(MIX_WEIGHTS),
+    "op11_conversation_audit": conversation_audit.oracle_sql(),
     "op13_spelling_variants": spelling_variants.oracle_sql(),
 }
