@@ -36,10 +36,11 @@ from claimworks.llm.common import LOWER, UPPER, handing_back, let
 from claimworks.plans.workspace import write_lookup, write_table
 
 # Letters that make words (fixed values).
-LETTERS = r"[A-Za-zÀ-ÿ]+"
+LETTERS = "[A-Za-zÀ-ÿ]"
 GROUPS = 4
 BLOCK = 4096  # words of a meeting place that are compared in one group
 TILE = 512  # rows of a product
+ROWS_OUT = 20_000  # pairs handed on together
 # The choices of groups that two near words agree in, and of each set of differing groups the
 # first choice that avoids it.
 CHOICES = list(combinations(range(GROUPS), GROUPS - 2))
@@ -65,7 +66,9 @@ def misspelt(word: Column, doc_id: Column, every: int) -> Column:
 
 def word_counts(docs: DataFrame, shortest: int = 6, fewest: int = 5, errors_every: int = 199) -> DataFrame:
     """word and n of the words of all texts, after planting spelling errors."""
-    runs = F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(LETTERS), F.lit(0))
+    # an error only shortens a word: shorter runs come to nothing
+    long_runs = F.lit(f"{LETTERS}{{{shortest},}}")
+    runs = F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), long_runs, F.lit(0))
     met = docs.select(F.col("doc_id").alias("seed"), F.explode(runs).alias("run"))
     met = met.select("seed", F.translate("run", UPPER, LOWER).alias("word"))
     words = met.select(misspelt(F.col("word"), F.col("seed"), errors_every).alias("word"))
@@ -190,6 +193,8 @@ def _compared(table: pa.Table, group_of: np.ndarray) -> Iterator[pa.RecordBatch]
         if not one.words or not two.words:
             continue
         for a, b in near_pairs(one, two, choice, group_of):
+            if not len(a):
+                continue
             first = pa.array([one.words[k] for k in a], pa.string())
             second = pa.array([two.words[k] for k in b], pa.string())
             n, m = pa.array(one.ns[a]), pa.array(two.ns[b])
@@ -197,31 +202,45 @@ def _compared(table: pa.Table, group_of: np.ndarray) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays(row, ["word", "n", "near", "near_n"])
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each comparison; takes rows sorted by ``PLACE``."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        key = [table[name].combine_chunks().to_numpy(zero_copy_only=False) for name in PLACE]
+        changes = np.zeros(table.num_rows, bool)
+        for column in key:
+            changes[1:] |= column[1:] != column[:-1]
+        if held and any(held[-1][name][0].as_py() != column[0] for name, column in zip(PLACE, key)):
+            yield pa.concat_tables(held)
+            held = []
+        starts = [0, *np.flatnonzero(changes).tolist(), table.num_rows]
+        for start, end in zip(starts, starts[1:]):
+            if start:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(start, end - start))
+    if held:
+        yield pa.concat_tables(held)
+
+
 def _comparer(groups: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_of = np.full(256, -1)
         for g, letters in enumerate(groups):
             group_of[list(letters.encode("latin-1"))] = g
-        held: list[pa.Table] = []
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not table.num_rows:
-                continue
-            key = [table[name].combine_chunks().to_numpy(zero_copy_only=False) for name in PLACE]
-            changes = np.zeros(table.num_rows, bool)
-            for column in key:
-                changes[1:] |= column[1:] != column[:-1]
-            if held and any(held[-1][name][0].as_py() != column[0] for name, column in zip(PLACE, key)):
-                yield from _compared(pa.concat_tables(held), group_of)
-                held = []
-            starts = [0, *np.flatnonzero(changes).tolist(), table.num_rows]
-            for start, end in zip(starts, starts[1:]):
-                if start:
-                    yield from _compared(pa.concat_tables(held), group_of)
-                    held = []
-                held.append(table.slice(start, end - start))
-        if held:
-            yield from _compared(pa.concat_tables(held), group_of)
+        waiting, rows = [], 0
+        for place in _places(batches):
+            for found in _compared(place, group_of):
+                waiting.append(found)
+                rows += found.num_rows
+                if rows >= ROWS_OUT:
+                    yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                    waiting, rows = [], 0
+        if waiting:
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
 
     return run
 
@@ -278,7 +297,7 @@ with recursive checks as (
   select list(list_reduce(range(8), lambda c, i: {step}, b) order by b) as of_byte from range(256) r(b)),
 met as (
   select doc_id, translate(run, '{UPPER}', '{LOWER}') as word, count(*) as n
-  from (select doc_id, unnest(regexp_extract_all(text, '{LETTERS}')) as run from documents) group by all),
+  from (select doc_id, unnest(regexp_extract_all(text, '{LETTERS}+')) as run from documents) group by all),
 bytes as (
   select word, n, list_transform(string_split(concat(doc_id, ':', word), ''), lambda c: unicode(c)) as points from met),
 hashed as (
