@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,11 +17,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import schemas
-from claimworks.operators import quality, reports
+from claimworks.operators import fingerprint, quality, reports
 from claimworks.operators.clean import clean_city, prepare_presc
 from claimworks.plans.workspace import temporary_tables, write_table
 from claimworks.session import spark_session
-from claimworks.sinks import files, tables
+from claimworks.sinks import files, runs, tables
 from claimworks.sources.readers import (
     BAD_LINE, parsed_lines, read_city_dim, read_prescriber_fact, read_report_csv, split_malformed,
 )
@@ -89,29 +90,40 @@ def table_sink(root: str, database: str | None = None) -> Sink:
     return write
 
 
-def jdbc_sink(url: str, properties: dict[str, str] | None = None) -> Sink:
-    """Load into a database, then compare row counts: a task repeated after its
-    insert was committed would otherwise leave rows twice.  A staging table is loaded and
-    checked first, so a failing load leaves the table that readers use as it was."""
+def committed_run_sink(root: str, stamp: str, file_format: str = "parquet") -> Sink:
+    """A run folder that readers see only once it is whole; it is checked before it is committed."""
 
     def write(df: DataFrame, name: str) -> None:
-        table, expected = tables.REPORT_TABLES[name], df.count()
-        for target in (f"{table}_staging", table):
-            tables.write_jdbc(df, url, target, properties)
-            loaded = tables.count_jdbc(df.sparkSession, url, target, properties)
-            if loaded != expected:
-                raise ValueError(f"{target} holds {loaded} rows after loading {expected}")
+        runs.write_run(df, root, name, stamp, file_format)
 
     return write
 
 
-def _load(report: DataFrame, name: str, sink: Sink) -> None:
-    """Write one report and check what is there afterwards."""
+def jdbc_sink(
+    url: str, properties: dict[str, str] | None = None, token: str | None = None,
+    connect: tables.Connect | None = None,
+) -> Sink:
+    """Load into a database in two phases: a staging table of this run is loaded and checked by
+    fingerprint, then its rows replace those of the table that readers use in one transaction."""
+
+    def write(df: DataFrame, name: str) -> None:
+        tables.load_jdbc(df, url, tables.REPORT_TABLES[name], token or uuid.uuid4().hex, properties, connect=connect)
+
+    return write
+
+
+def _load(report: DataFrame, name: str, sink: Sink, expected: fingerprint.Fingerprint) -> None:
+    """Write one report and check that the same rows are there afterwards."""
     found = sink(report, name)
     if found is not None:
-        loaded, expected = found.count(), report.count()
-        if loaded != expected or not loaded:
-            raise ValueError(f"{name} holds {loaded} rows after loading {expected}")
+        fingerprint.require_same(name, expected, fingerprint.of(found.select(report.columns)))
+
+
+def write_fingerprinted(df: DataFrame, label: str) -> tuple[DataFrame, fingerprint.Fingerprint]:
+    """A report as a written table, with the fingerprint seen by the job that wrote it."""
+    seen = Observation()
+    table = write_table(df.observe(seen, *fingerprint.measures(df.schema)), label, keep=True)
+    return table, fingerprint.Fingerprint.seen(seen)
 
 
 @dataclass(frozen=True)
@@ -135,19 +147,21 @@ def run(
     grain: str = reports.ROW,
     normalize_keys: bool = False,
     bad_lines: str | None = None,
+    infer: bool = False,
 ) -> Result:
     """Read, clean, report, write and check.
 
     The text of a CSV fact is parsed once, into a parquet table of prepared rows that
     both reports read.  Lines that do not fit the contract end the run, unless
     ``bad_lines`` names a folder for their text (a second pass over the text, if there are
-    any).  Each report is computed once, whatever the number of sinks, and what each sink
-    wrote is counted afterwards.  Work tables are removed at the end.  Any error ends the
+    any).  ``infer`` lets Spark guess the types of a CSV fact first, which costs one more pass, and casts
+    them to the contract's; a value that does not fit ends the run.  Each report is computed once, whatever the number of sinks, and what each sink
+    wrote is compared with it by fingerprint afterwards.  Work tables are removed at the end.  Any error ends the
     run.
     """
     with temporary_tables(spark):
         return _run(
-            spark, city_path, fact_path, sinks, city_format, fact_format, grain, normalize_keys, bad_lines
+            spark, city_path, fact_path, sinks, city_format, fact_format, grain, normalize_keys, bad_lines, infer
         )
 
 
@@ -171,12 +185,24 @@ def _prepared_csv(
     return rows, spark.createDataFrame(named, "frame_name string, row_count long")
 
 
+def _prepared(fact: DataFrame, normalize_keys: bool) -> tuple[DataFrame, DataFrame]:
+    """Prepared rows, written once, and the number of the raw ones."""
+    seen = Observation()
+    counted = fact.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = write_table(prepare_presc(counted, normalize_keys=normalize_keys), "prepared-rows")
+    named = [("df_fact", seen.get["rows"])]
+    return rows, fact.sparkSession.createDataFrame(named, "frame_name string, row_count long")
+
+
 def _run(
     spark: SparkSession, city_path: str, fact_path: str, sinks: Sequence[Sink], city_format: str,
-    fact_format: str, grain: str, normalize_keys: bool, bad_lines: str | None,
+    fact_format: str, grain: str, normalize_keys: bool, bad_lines: str | None, infer: bool,
 ) -> Result:
     city = schemas.conform(read_city_dim(spark, city_path, city_format), schemas.CITY_DIM)
-    if fact_format == "csv":
+    if fact_format == "csv" and infer:
+        guessed = read_prescriber_fact(spark, fact_path, infer=True)
+        rows, fact_count = _prepared(schemas.conform(guessed, schemas.PRESCRIBER_FACT), normalize_keys)
+    elif fact_format == "csv":
         rows, fact_count = _prepared_csv(spark, fact_path, normalize_keys, bad_lines)
     else:
         fact = read_prescriber_fact(spark, fact_path, fact_format)
@@ -187,58 +213,76 @@ def _run(
     city = clean_city(city, normalize_keys)
     for name, frame in (("city", city), ("fact", rows)):
         log.info("clean %s: %s", name, frame.schema.simpleString())
-    city_result = write_table(reports.city_report(city, rows), "city-report", keep=True)
-    presc_result = write_table(reports.top_prescribers(rows, grain=grain), "prescriber-report", keep=True)
+    city_result, city_seen = write_fingerprinted(reports.city_report(city, rows), "city-report")
+    presc_result, presc_seen = write_fingerprinted(reports.top_prescribers(rows, grain=grain), "prescriber-report")
     expected = schemas.PRESCRIBER_REPORT if grain == reports.ROW else schemas.PRESCRIBER_TOTALS
     quality.require_contract(city_result, schemas.CITY_REPORT, "city report")
     quality.require_contract(presc_result, expected, "prescriber report")
 
-    written = {"city": city_result, "top5_prescribers": presc_result}
-    computed = quality.row_counts(
-        {tables.REPORT_TABLES[name]: report for name, report in written.items()}, "table_name"
-    )
+    written = {"city": (city_result, city_seen), "top5_prescribers": (presc_result, presc_seen)}
+    sizes = {tables.REPORT_TABLES[name]: seen.rows for name, (_, seen) in written.items()}
+    computed = spark.createDataFrame(list(sizes.items()), "table_name string, row_count long")
     quality.require_rows(computed, "table_name").collect()  # two rows
     for sink in sinks:
-        for name, report in written.items():
-            _load(report, name, sink)
-    counts = quality.row_counts(
-        {"df_city": city, "city_report": city_result, "prescriber_report": presc_result}
-    ).unionByName(fact_count)
+        for name, (report, seen) in written.items():
+            _load(report, name, sink, seen)
+    counted = spark.createDataFrame(list(sizes.items()), "frame_name string, row_count long")
+    counts = quality.row_counts({"df_city": city}).unionByName(counted).unionByName(fact_count)
     return Result(city_result, presc_result, counts, quality.preview(presc_result, preview_order()))
 
 
-SINKS = ("csv", "parquet", "table", "run", "once")
+SINKS = ("csv", "parquet", "table", "run", "committed", "once", "jdbc")
 
 
-def _sink(kind: str, root: str, stamp: str | None) -> Sink:
-    if kind == "run":
+def _sink(kind: str, args: argparse.Namespace) -> Sink:
+    root, stamp = args.out, args.stamp
+    if kind in ("run", "committed"):
         if stamp is None:
-            raise ValueError("the run sink needs --stamp")
-        return run_sink(f"{root}/runs", stamp)
+            raise ValueError(f"the {kind} sink needs --stamp")
+        return {"run": run_sink, "committed": committed_run_sink}[kind](f"{root}/runs", stamp)
+    if kind == "jdbc":
+        if args.jdbc_url is None:
+            raise ValueError("the jdbc sink needs --jdbc-url")
+        return jdbc_sink(args.jdbc_url, dict(pair.split("=", 1) for pair in args.jdbc_property), stamp)
     makers = {"csv": csv_sink, "parquet": parquet_sink, "table": table_sink, "once": create_once_sink}
     folder = {"table": f"{root}/tables", "once": f"{root}/once"}.get(kind, root)
     return makers[kind](folder)
 
 
+def _check_tables(names: str) -> None:
+    for row in quality.loaded_tables(spark_session(), names).collect():
+        log.info("%s: %s rows", row.table_name, row.row_count)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("--city", required=True, help="city dimension (parquet)")
-    parser.add_argument("--fact", required=True, help="prescriber fact")
+    parser.add_argument("--check-tables", help="only check that these tables, 'a, b', have rows")
+    parser.add_argument("--city", help="city dimension (parquet)")
+    parser.add_argument("--fact", help="prescriber fact")
     parser.add_argument("--fact-format", default="csv")
-    parser.add_argument("--out", required=True, help="folder of the reports")
+    parser.add_argument("--infer", action="store_true", help="guess the types of a CSV fact")
+    parser.add_argument("--out", help="folder of the reports")
     parser.add_argument("--city-format", default="parquet")
     parser.add_argument("--sink", action="append", choices=SINKS, help="repeatable; csv if none")
-    parser.add_argument("--stamp", help="name of this run's folder, for the run sink")
+    parser.add_argument("--stamp", help="name of this run's folder or staging table")
+    parser.add_argument("--jdbc-url", help="database of the jdbc sink")
+    parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="repeatable")
     parser.add_argument("--normalize-keys", action="store_true")
     parser.add_argument("--bad-lines", help="folder for malformed lines; they end the run if unset")
     parser.add_argument("--grain", default=reports.ROW, choices=[reports.ROW, reports.PRESCRIBER])
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
+    if args.check_tables:
+        _check_tables(args.check_tables)
+        return
+    missing = [f"--{name}" for name in ("city", "fact", "out") if getattr(args, name) is None]
+    if missing:
+        parser.error(f"the following arguments are required: {', '.join(missing)}")
     result = run(
         spark_session(), args.city, args.fact,
-        [_sink(kind, args.out, args.stamp) for kind in args.sink or ["csv"]],
+        [_sink(kind, args) for kind in args.sink or ["csv"]],
         city_format=args.city_format, fact_format=args.fact_format, grain=args.grain,
-        normalize_keys=args.normalize_keys, bad_lines=args.bad_lines,
+        normalize_keys=args.normalize_keys, bad_lines=args.bad_lines, infer=args.infer,
     )
     for name, report in (("city", result.city_report), ("prescriber", result.prescriber_report)):
         log.info("%s report: %s", name, report.schema.simpleString())

@@ -122,11 +122,19 @@ def test_job_from_the_command_line(spark, tmp_path):
 
 
 def test_load_check_notices_repeated_rows(spark, monkeypatch):
+    class Silent:
+        """A connection that takes everything and counts four rows."""
+
+        def __getattr__(self, name):
+            return lambda *args: 4 if name == "getLong" else self
+
     monkeypatch.setattr(tables, "write_jdbc", lambda *args: None)
-    monkeypatch.setattr(tables, "count_jdbc", lambda *args: 4)
-    job.jdbc_sink("jdbc:x")(spark.range(4), "city")
-    with pytest.raises(ValueError, match="city_report_staging holds 4 rows after loading 2"):
-        job.jdbc_sink("jdbc:x")(spark.range(2), "city")
+    monkeypatch.setattr(tables, "create_jdbc", lambda *args: None)
+    monkeypatch.setattr(tables, "staged_rows", lambda *args: spark.range(4))
+    sink = job.jdbc_sink("jdbc:x", token="t", connect=Silent)
+    sink(spark.range(4), "city")
+    with pytest.raises(ValueError, match="city_report_staging_t holds 4 rows after loading 2"):
+        sink(spark.range(2), "city")
 
 
 def test_inputs_are_written_again_when_they_are_gone(spark, monkeypatch):
