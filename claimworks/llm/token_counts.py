@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from claimworks.llm.common import handing_back
 from claimworks.llm.sentencepiece_codec import BPE, MARK, NORMAL, UNUSED, USER_DEFINED, Spec, parse_model
 
-STATES = 100_000  # compiled at a time
-WORDS = 200_000  # remembered at a time
+STATES = 200_000  # compiled at a time
+WORDS = 400_000  # remembered at a time
+MET = 2**23  # slots that remember which words were met
 FITS = 300_000  # remembered pairs of pieces
 CHUNK = 4096  # characters of a chunk of a long text
 TEXTS = 500  # taken from a batch at a time
@@ -119,9 +120,8 @@ class Transducer:
         """Whether a token ends between two characters whatever surrounds them."""
         return before + after not in self.inside
 
-    def added(self, state: dict, char: str) -> tuple[Past, str, int]:
+    def added(self, past: Past, char: str) -> tuple[Past, str, int]:
         """The past that counts, the text's last piece after ``char`` and the tokens it adds."""
-        past: Past = state[PAST]
         last = past[-1][1]
         if last and last[-1] + char not in self.inside:
             past = self.beginning  # a certain place makes all pasts alike
@@ -134,14 +134,18 @@ class Transducer:
             raise AssertionError(f"no piece fits before the end of {char!r}")
         return past, char, len(char.encode())
 
-    def compile(self, state: dict, char: str) -> tuple[dict, int]:
-        """The transition of a state that it does not have yet."""
-        past, piece, added = self.added(state, char)
+    def after(self, past: Past, char: str, piece: str, added: int) -> list[tuple[Beginning, str, int]]:
+        """What counts after ``char``; takes what :meth:`added` gives."""
         kept = [
             (end.longer[char], before, since + added) for end, before, since in past if char in end.longer
         ]
         kept.append((self.empty, piece, 0))
-        step = state[char] = self._state(tuple(kept)), added
+        return kept
+
+    def compile(self, state: dict, char: str) -> tuple[dict, int]:
+        """The transition of a state that it does not have yet."""
+        past, piece, added = self.added(state[PAST], char)
+        step = state[char] = self._state(tuple(self.after(past, char, piece, added))), added
         return step
 
     def run(self, state: dict, text: str) -> tuple[dict, int]:
@@ -156,10 +160,21 @@ class Transducer:
         return state, total
 
     def count(self, text: str) -> int:
-        """Tokens of ``text``, without a state for its end: most rare words go no further."""
-        state, total = self.run(self.start, text[:-1])
-        step = state.get(text[-1])
-        return total + (self.added(state, text[-1])[2] if step is None else step[1])
+        """Tokens of ``text``.  Follows the transitions there are and compiles no more: most rare words
+        do not come again."""
+        state, total = self.start, 0
+        for k, char in enumerate(text):
+            step = state.get(char)
+            if step is None:
+                past = state[PAST]
+                for char in text[k:]:
+                    past, piece, added = self.added(past, char)
+                    past = self.after(past, char, piece, added)
+                    total += added
+                break
+            state = step[0]
+            total += step[1]
+        return total
 
 
 @dataclass(frozen=True)
@@ -215,15 +230,16 @@ class Counter:
         self.machine = Transducer({piece: score for piece, score, kind in spec.pieces if kind == NORMAL})
         self.by_word = not any(pair[1] == MARK != pair[0] for pair in self.machine.inside)
         self.known: dict[str, int] = {}
+        self.met, self.marked = bytearray(MET), 0  # by the words' hashes
         self.states, self.words, self.chunk = states, words, chunk
 
-    def _run(self, text: str) -> int:
+    def _run(self, text: str, compiled: bool = True) -> int:
         """Tokens of a marked text or word."""
         machine = self.machine
         if len(machine.states) > self.states:
             machine.reset()
         if len(text) <= self.chunk:
-            return machine.count(text)
+            return machine.run(machine.start, text)[1] if compiled else machine.count(text)
         starts = range(0, len(text), self.chunk)
         # no map holds more than its head's characters and a state
         maps = [chunk_map(machine, text[k : k + self.chunk], text[k - 1] if k else "") for k in starts]
@@ -235,14 +251,23 @@ class Counter:
             return sum(map(self.known.get, words))
         except TypeError:  # a word that is not known
             pass
-        total, known = 0, self.known
+        total, known, met = 0, self.known, self.met
         for word in words:
             count = known.get(word)
             if count is None:
-                if len(known) > self.words:
-                    known.clear()
-                count = known[word] = self._run(MARK + word)
+                # most words come once: they are remembered, and their states compiled, from the second time on
+                slot = hash(word) & MET - 1
+                count = self._run(MARK + word, met[slot])
+                if met[slot]:
+                    if len(known) > self.words:
+                        known.clear()
+                    known[word] = count
+                else:
+                    met[slot] = 1
+                    self.marked += 1
             total += count
+        if self.marked > MET // 2:
+            self.met, self.marked = bytearray(MET), 0
         return total
 
     def __call__(self, text: str) -> int:
