@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from claimworks import schemas
 from claimworks.operators import fingerprint, quality, reports
 from claimworks.operators.clean import clean_city, prepare_presc
-from claimworks.plans.workspace import temporary_tables, write_table
+from claimworks.plans.workspace import input_state, stage_key, stage_table, temporary_tables, write_table
 from claimworks.session import spark_session
 from claimworks.sinks import files, runs, tables
 from claimworks.sources.readers import (
-    BAD_LINE, parsed_lines, read_city_dim, read_prescriber_fact, read_report_csv, split_malformed,
+    BAD_LINE, escaped, parsed_lines, read_city_dim, read_prescriber_fact, read_report_csv,
+    split_malformed,
 )
 
 log = logging.getLogger(__name__)
@@ -40,19 +41,19 @@ def preview_order() -> list[Column]:
     return [F.asc_nulls_first("presc_state"), highest, *[F.asc_nulls_first(name) for name in others]]
 
 
-def csv_sink(root: str) -> Sink:
+def csv_sink(root: str, balance: bool = False, max_rows: int = 0) -> Sink:
     def write(df: DataFrame, name: str) -> DataFrame:
         path = f"{root}/{name}.csv"
-        files.write_csv(df, path)
+        files.write_csv(df, path, balance=balance, max_rows=max_rows)
         return read_report_csv(df.sparkSession, path, df.schema)
 
     return write
 
 
-def parquet_sink(root: str) -> Sink:
+def parquet_sink(root: str, balance: bool = False, max_rows: int = 0) -> Sink:
     def write(df: DataFrame, name: str) -> DataFrame:
         path = f"{root}/{name}.parquet"
-        files.write_parquet(df, path)
+        files.write_parquet(df, path, balance=balance, max_rows=max_rows)
         return _reread(df, path, "parquet")
 
     return write
@@ -148,6 +149,8 @@ def run(
     normalize_keys: bool = False,
     bad_lines: str | None = None,
     infer: bool = False,
+    restart: str | None = None,
+    line_breaks: bool = False,
 ) -> Result:
     """Read, clean, report, write and check.
 
@@ -155,55 +158,77 @@ def run(
     both reports read.  Lines that do not fit the contract end the run, unless
     ``bad_lines`` names a folder for their text (a second pass over the text, if there are
     any).  ``infer`` lets Spark guess the types of a CSV fact first, which costs one more pass, and casts
-    them to the contract's; a value that does not fit ends the run.  Each report is computed once, whatever the number of sinks, and what each sink
+    them to the contract's; a value that does not fit ends the run.  ``line_breaks`` keeps values with line
+    breaks, for two more passes.  ``restart`` names a folder where the prepared rows stay: a run over the same
+    files with the same options starts from them, so one that died later does not parse the text again.  The
+    folder is the caller's to clear.  Each report is computed once, whatever the number of sinks, and what each sink
     wrote is compared with it by fingerprint afterwards.  Work tables are removed at the end.  Any error ends the
     run.
     """
     with temporary_tables(spark):
         return _run(
-            spark, city_path, fact_path, sinks, city_format, fact_format, grain, normalize_keys, bad_lines, infer
+            spark, city_path, fact_path, sinks, city_format, fact_format, grain, normalize_keys, bad_lines, infer,
+            restart, line_breaks,
         )
 
 
+# Counts when prepared rows of equal inputs change, so that stages of older code are not taken up.
+PREPARED_VERSION = 1
+
+
 def _prepared_csv(
-    spark: SparkSession, path: str, normalize_keys: bool, bad_lines: str | None
+    spark: SparkSession, path: str, normalize_keys: bool, bad_lines: str | None, infer: bool,
+    restart: str | None, line_breaks: bool,
 ) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows of the good lines, and the numbers of good and malformed ones."""
-    seen = Observation()
+    """Prepared rows of the good lines, and the numbers of good and malformed ones.
+
+    The text is parsed once.  With ``restart`` the rows stay there under a key of the files and
+    parameters, and a later run that has the same takes them up.
+    """
     is_bad = F.col(BAD_LINE).isNotNull()
-    lines = parsed_lines(spark, path, schemas.PRESCRIBER_FACT).observe(
-        seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("malformed")
-    )
-    good = lines.filter(~is_bad).drop(BAD_LINE)
-    rows = write_table(prepare_presc(good, normalize_keys=normalize_keys), "prepared-rows")
-    counts = seen.get
+
+    def compute() -> tuple[DataFrame, Callable[[], dict]]:
+        seen = Observation()
+        if infer:
+            guessed = schemas.conform(read_prescriber_fact(spark, path, infer=True), schemas.PRESCRIBER_FACT)
+            good = guessed.observe(seen, F.count(F.lit(1)).alias("good"))
+        else:
+            lines = parsed_lines(spark, path, schemas.PRESCRIBER_FACT, line_breaks=line_breaks).observe(
+                seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("malformed")
+            )
+            good = lines.filter(~is_bad).drop(BAD_LINE)
+        return prepare_presc(good, normalize_keys=normalize_keys), lambda: {"malformed": 0, **seen.get}
+
+    if restart is None:
+        frame, facts = compute()
+        rows, counts = write_table(frame, "prepared-rows"), facts()
+    else:
+        key = stage_key(
+            PREPARED_VERSION, schemas.PRESCRIBER_FACT.jsonValue(), input_state(spark, path), normalize_keys, infer,
+            line_breaks,
+        )
+        rows, counts = stage_table(spark, restart, "prepared-rows", key, compute)
     if counts["malformed"]:
         if bad_lines is None:
             raise ValueError(f"{path} has {counts['malformed']} malformed lines")
-        split_malformed(spark, path, schemas.PRESCRIBER_FACT)[1].write.mode("overwrite").text(bad_lines)
+        bad = split_malformed(spark, path, schemas.PRESCRIBER_FACT, line_breaks=line_breaks)[1]
+        # a record with line breaks is one line there, too
+        text = escaped(F.col(BAD_LINE)).alias(BAD_LINE) if line_breaks else F.col(BAD_LINE)
+        bad.select(text).write.mode("overwrite").text(bad_lines)
     named = [("df_fact", counts["good"]), ("malformed_lines", counts["malformed"])]
     return rows, spark.createDataFrame(named, "frame_name string, row_count long")
 
 
-def _prepared(fact: DataFrame, normalize_keys: bool) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows, written once, and the number of the raw ones."""
-    seen = Observation()
-    counted = fact.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows = write_table(prepare_presc(counted, normalize_keys=normalize_keys), "prepared-rows")
-    named = [("df_fact", seen.get["rows"])]
-    return rows, fact.sparkSession.createDataFrame(named, "frame_name string, row_count long")
-
-
 def _run(
     spark: SparkSession, city_path: str, fact_path: str, sinks: Sequence[Sink], city_format: str,
     fact_format: str, grain: str, normalize_keys: bool, bad_lines: str | None, infer: bool,
+    restart: str | None, line_breaks: bool,
 ) -> Result:
     city = schemas.conform(read_city_dim(spark, city_path, city_format), schemas.CITY_DIM)
-    if fact_format == "csv" and infer:
-        guessed = read_prescriber_fact(spark, fact_path, infer=True)
-        rows, fact_count = _prepared(schemas.conform(guessed, schemas.PRESCRIBER_FACT), normalize_keys)
-    elif fact_format == "csv":
-        rows, fact_count = _prepared_csv(spark, fact_path, normalize_keys, bad_lines)
+    if fact_format == "csv":
+        rows, fact_count = _prepared_csv(
+            spark, fact_path, normalize_keys, bad_lines, infer, restart, line_breaks
+        )
     else:
         fact = read_prescriber_fact(spark, fact_path, fact_format)
         rows = prepare_presc(fact, normalize_keys=normalize_keys)
@@ -244,8 +269,10 @@ def _sink(kind: str, args: argparse.Namespace) -> Sink:
         if args.jdbc_url is None:
             raise ValueError("the jdbc sink needs --jdbc-url")
         return jdbc_sink(args.jdbc_url, dict(pair.split("=", 1) for pair in args.jdbc_property), stamp)
-    makers = {"csv": csv_sink, "parquet": parquet_sink, "table": table_sink, "once": create_once_sink}
-    folder = {"table": f"{root}/tables", "once": f"{root}/once"}.get(kind, root)
+    if kind in ("csv", "parquet"):
+        return {"csv": csv_sink, "parquet": parquet_sink}[kind](root, args.balance, args.max_rows)
+    makers = {"table": table_sink, "once": create_once_sink}
+    folder = {"table": f"{root}/tables", "once": f"{root}/once"}[kind]
     return makers[kind](folder)
 
 
@@ -261,12 +288,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--fact", help="prescriber fact")
     parser.add_argument("--fact-format", default="csv")
     parser.add_argument("--infer", action="store_true", help="guess the types of a CSV fact")
+    parser.add_argument("--line-breaks", action="store_true", help="values of a CSV fact may hold line breaks")
+    parser.add_argument("--restart", help="folder of finished stages that a later run takes up")
     parser.add_argument("--out", help="folder of the reports")
     parser.add_argument("--city-format", default="parquet")
     parser.add_argument("--sink", action="append", choices=SINKS, help="repeatable; csv if none")
     parser.add_argument("--stamp", help="name of this run's folder or staging table")
     parser.add_argument("--jdbc-url", help="database of the jdbc sink")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="repeatable")
+    parser.add_argument("--balance", action="store_true", help="even files of the csv and parquet sinks")
+    parser.add_argument("--max-rows", type=int, default=0, help="most rows of such a file")
     parser.add_argument("--normalize-keys", action="store_true")
     parser.add_argument("--bad-lines", help="folder for malformed lines; they end the run if unset")
     parser.add_argument("--grain", default=reports.ROW, choices=[reports.ROW, reports.PRESCRIBER])
@@ -283,6 +314,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         [_sink(kind, args) for kind in args.sink or ["csv"]],
         city_format=args.city_format, fact_format=args.fact_format, grain=args.grain,
         normalize_keys=args.normalize_keys, bad_lines=args.bad_lines, infer=args.infer,
+        restart=args.restart, line_breaks=args.line_breaks,
     )
     for name, report in (("city", result.city_report), ("prescriber", result.prescriber_report)):
         log.info("%s report: %s", name, report.schema.simpleString())

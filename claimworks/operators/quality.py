@@ -43,6 +43,58 @@ def column_profile(frame: DataFrame) -> DataFrame:
     return counts.select(F.inline(described))
 
 
+# Sketch sizes: the standard error of distinct counts is about 1.04 / sqrt(2 ** DISTINCT_LOG), the
+# rank error of quantiles about 1 / ACCURACY.
+DISTINCT_LOG = 12
+ACCURACY = 1000
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+QUANTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+
+
+def sketch_profile(frame: DataFrame) -> DataFrame:
+    """Per column: rows, nulls, a sketch of its distinct values with their estimated number and, for numbers,
+    five quantiles, in one pass.
+
+    Every aggregate is merged from partial ones of bounded size, whatever the number of values: exact distinct
+    counts would shuffle each column's values.  Sketches of several frames are united by
+    :func:`merged_distinct`, so a profile of all runs needs no look at old rows.
+    """
+    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    described = []
+    for position, field in enumerate(frame.schema):
+        column, at = F.col(f"`{field.name}`"), str(position)
+        numeric = isinstance(field.dataType, _NUMBERS)
+        aggregates += [
+            F.count(column).alias(f"filled_{at}"), F.hll_sketch_agg(column.cast("string"), DISTINCT_LOG).alias(f"sketch_{at}"),
+        ]
+        quantiles = F.lit(None).cast("array<double>")
+        if numeric:
+            number = column.cast("double")
+            aggregates.append(F.percentile_approx(number, list(QUANTILES), ACCURACY).alias(f"quantiles_{at}"))
+            quantiles = F.col(f"quantiles_{at}")
+        described.append(
+            F.struct(
+                F.lit(position).alias("position"), F.lit(field.name).alias("column_name"), "row_count",
+                (F.col("row_count") - F.col(f"filled_{at}")).alias("null_count"),
+                F.col(f"sketch_{at}").alias("sketch"),
+                F.hll_sketch_estimate(f"sketch_{at}").alias("distinct_count"), quantiles.alias("quantiles"),
+            )
+        )
+    return frame.agg(*aggregates).select(F.inline(F.array(*described)))
+
+
+def merged_distinct(profiles: DataFrame) -> DataFrame:
+    """column_name, rows, nulls and distinct count over all frames whose profiles are given, from the
+    sketches alone."""
+    united = profiles.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+        F.hll_union_agg("sketch").alias("sketch"),
+    )
+    return united.select(
+        "column_name", "row_count", "null_count", F.hll_sketch_estimate("sketch").alias("distinct_count")
+    )
+
+
 def require_contract(frame: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     """The frame itself; raises if its columns are not those of the contract."""
     problems = schemas.contract_violations(frame, schema)

@@ -138,6 +138,48 @@ _PROFILE = "\nunion all ".join(
     for position, (name, kind) in enumerate(_PROFILED.items())
 )
 
+_SKETCHED = "\nunion all ".join(
+    f"select {position} as position, '{name}' as column_name, count(*) as row_count, "
+    f"count(*) - count({name}) as null_count, true as distinct_near, true as quantiles_near from clean_presc"
+    for position, name in enumerate(_PROFILED)
+)
+_MERGED = "\nunion all ".join(
+    f"select '{name}' as column_name, count(*) as row_count, count(*) - count({name}) as null_count, "
+    "true as distinct_near from prepared"
+    for name in _PROFILED
+)
+
+_REPORT_COLUMNS = {
+    "city_report": ["city", "state_name", "county_name", "population", "zip_counts", "trx_counts", "presc_counts"],
+    "presc_report": [
+        "presc_id", "presc_fullname", "presc_state", "country_name", "years_of_exp", "trx_cnt", "total_day_supply",
+        "total_drug_cost",
+    ],
+}
+
+
+def _measured(frame: str, where: str = "true") -> str:
+    """Number of rows and fingerprint of a report: each value with its length, the sum of 60-bit hashes."""
+    texts = [f"coalesce(length({c}::varchar) || ':' || {c}::varchar, 'n')" for c in _REPORT_COLUMNS[frame]]
+    hashed = f"('0x' || substr(md5(concat({', '.join(texts)})), 1, 15))::bigint"
+    return (
+        f"select count(*) as row_count, coalesce(sum({hashed}), 0)::decimal(38, 0) as fingerprint "
+        f"from {frame} where {where}"
+    )
+
+
+_SINK_FINGERPRINTS = "\nunion all ".join(
+    f"select unnest(['csv', 'parquet', 'run', 'once', 'table']) as sink, '{table}' as table_name, "
+    "row_count as written_rows, fingerprint as written_fingerprint, row_count as loaded_rows, "
+    f"fingerprint as loaded_fingerprint from ({_measured(frame)})"
+    for frame, table in (("city_report", "city_report"), ("presc_report", "prescriber_report"))
+)
+_RUN_FINGERPRINTS = "\nunion all ".join(
+    f"select '{stamp}' as ingested_at, row_count as manifest_rows, fingerprint as manifest_fingerprint, "
+    f"row_count, fingerprint from ({_measured('presc_report', where)})"
+    for stamp, where in (("2024-01-07", "true"), ("2024-01-14", "presc_state < 'NATION_2'"))
+)
+
 _GOOD_LINE = "drug_name is not null and nppes_provider_state is not null"
 
 
@@ -210,6 +252,30 @@ ORACLE_SQL: dict[str, str] = {
         }
     ),
     "dq_column_profile": _with(["clean_presc"], _PROFILE),
+    "dq_column_sketches": _with(["clean_presc"], _SKETCHED),
+    "dq_merged_sketches": _with(["prepared"], _MERGED),
+    "dq_sink_fingerprints": _with(["city_report", "presc_report"], _SINK_FINGERPRINTS),
+    "dq_committed_runs": _with(["presc_report"], _RUN_FINGERPRINTS),
+    "sink_committed_runs": _with(
+        ["presc_report"],
+        "select *, '2024-01-07' as ingested_at from presc_report union all "
+        "select *, '2024-01-14' as ingested_at from presc_report where presc_state < 'NATION_2'",
+    ),
+    "report_tables_pruned": _with(
+        ["clean_city", "presc_report"],
+        "select * from presc_report where presc_state in (select state_id from clean_city where population < 5000)",
+    ),
+    "report_tables_reloaded": _with(
+        ["presc_report"],
+        "select * from presc_report "
+        "where presc_state is null or presc_state not in ('NATION_1', 'NATION_2') or trx_cnt >= 49",
+    ),
+    "csv_quoted_breaks": _with(
+        ["prescriber_fact"],
+        "select * replace (case npi % 4 when 0 then concat('line' || chr(10) || 'one, ', npi) "
+        "when 1 then concat(chr(10), chr(10), npi, chr(10)) when 2 then 'say \"no\"' || chr(10) "
+        "else specialty_description end as specialty_description) from prescriber_fact",
+    ),
     "dq_loaded_tables": _counts(
         {"prescriber_report": "presc_report", "city_report": "city_report"}, "table_name"
     ),

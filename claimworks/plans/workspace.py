@@ -8,9 +8,11 @@ columns they need and the planner knows the table's true size.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -105,3 +107,52 @@ def write_lookup(df: DataFrame, label: str) -> Lookup:
     measured = Observation()
     table = write_table(df.observe(measured, F.sum(row_bytes).alias("bytes")), label)
     return Lookup(table, measured.get["bytes"] or 0)
+
+
+def input_state(spark: SparkSession, path: str) -> list[list]:
+    """Name, length and time of every file of an input, as its file system lists them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = system.listFiles(target, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            found.append([status.getPath().toString(), status.getLen(), status.getModificationTime()])
+    return sorted(found)
+
+
+def stage_key(*parts) -> str:
+    """A name for what a stage computes: equal for equal inputs and parameters only."""
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()[:32]
+
+
+def stage_table(
+    spark: SparkSession, root: str, label: str, key: str, compute: Callable[[], tuple[DataFrame, Callable[[], dict]]]
+) -> tuple[DataFrame, dict]:
+    """A table that a finished stage has left below ``root`` under its key, or that it leaves now; with
+    facts about it.
+
+    ``compute`` gives the frame and what returns the facts once it is written.  The facts are put beside
+    the table last, by renaming a file: a stage without them is not finished and is computed anew.
+    """
+    path = f"{root.rstrip('/')}/{label}-{key}"
+    facts_path = f"{path}.facts/facts.json"
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    done, hold = (jvm.org.apache.hadoop.fs.Path(p) for p in (facts_path, f"{path}.draft"))
+    system = done.getFileSystem(hadoop)
+    if not system.exists(done):
+        frame, facts = compute()
+        frame.write.mode("overwrite").parquet(path)
+        # the schema goes with the facts: an empty table's files need not tell it
+        line = json.dumps({"schema": frame.schema.jsonValue(), "facts": facts()})
+        text = spark.createDataFrame([(line,)], "value string").coalesce(1)
+        text.write.mode("overwrite").text(f"{path}.draft")
+        [part] = [s.getPath() for s in system.listStatus(hold) if s.getPath().getName().startswith("part-")]
+        system.mkdirs(done.getParent())
+        system.rename(part, done)
+        system.delete(hold, True)
+    kept = json.loads(spark.read.text(facts_path).first()[0])
+    schema = T.StructType.fromJson(kept["schema"])
+    return spark.read.schema(schema).parquet(path), kept["facts"]

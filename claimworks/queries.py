@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import types as T
 
 from claimworks import fixtures, job, schemas
 from claimworks.functions import token_count, token_count_arrow
-from claimworks.operators import clean, impute, quality, rank, reports
+from claimworks.operators import clean, fingerprint, impute, quality, rank, reports
 from claimworks.plans.workspace import fresh_path, write_table
-from claimworks.sinks import files, tables
+from claimworks.sinks import files, runs, tables
 from claimworks.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +248,79 @@ def dq_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.column_profile(clean_presc(spark, sf_dir))
 
 
+@query
+def dq_column_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketched distinct counts and quantiles of the cleaned fact, held against exact ones: a distinct count
+    may be off by 5 percent, a quantile by 1 percent of the ranks."""
+    rows = clean_presc(spark, sf_dir)
+    sketched = quality.sketch_profile(rows)
+    exact = rows.agg(*[F.count_distinct(name).alias(name) for name in rows.columns])
+    exact = exact.unpivot([], exact.columns, "column_name", "exact")
+    numbers = [f.name for f in rows.schema if f.dataType.typeName() in ("integer", "long", "double")]
+    values = rows.select([F.col(name).cast("double").alias(name) for name in numbers])
+    values = values.unpivot([], numbers, "column_name", "value").filter("value is not null")
+    asked = sketched.filter("quantiles is not null").select(
+        "column_name", F.posexplode("quantiles").alias("k", "quantile")
+    )
+    share = F.element_at(F.array(*map(F.lit, quality.QUANTILES)), F.col("k") + 1)
+    # ranks that the value could have among all of its column, as shares
+    ranks = values.join(F.broadcast(asked), "column_name").groupBy("column_name", "k", "quantile").agg(
+        F.avg((F.col("value") < F.col("quantile")).cast("int")).alias("low"),
+        F.avg((F.col("value") <= F.col("quantile")).cast("int")).alias("high"),
+    )
+    near = (F.col("low") - 0.01 <= share) & (share <= F.col("high") + 0.01)
+    ranked = ranks.groupBy("column_name").agg(F.every(near).alias("quantiles_near"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return sketched.join(exact, "column_name").join(ranked, "column_name", "left").select(
+        "position", "column_name", "row_count", "null_count", close.alias("distinct_near"),
+        F.coalesce("quantiles_near", F.lit(True)).alias("quantiles_near"),
+    )
+
+
+@query
+def dq_merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of the good and the other half of the fact, merged: rows and nulls are exact, distinct counts
+    equal those of one pass over all rows, because united sketches are the sketch of the union."""
+    rows = _rows(spark, sf_dir)
+    in_range = F.coalesce(F.col("years_of_exp").between(20, 50), F.lit(False))
+    halves = [quality.sketch_profile(rows.filter(half)) for half in (in_range, ~in_range)]
+    merged = quality.merged_distinct(halves[0].unionByName(halves[1]))
+    whole = quality.sketch_profile(rows).select("column_name", F.col("distinct_count").alias("at_once"))
+    near = F.abs(F.col("distinct_count") - F.col("at_once")) <= F.greatest(F.lit(1.0), 0.05 * F.col("at_once"))
+    return merged.join(whole, "column_name").select(
+        "column_name", "row_count", "null_count", near.alias("distinct_near")
+    )
+
+
+@query
+def dq_sink_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reports written to every kind of sink: the fingerprint seen while they were computed, and
+    the one of what a reader finds."""
+    written = {
+        "city": job.write_fingerprinted(_city_report(spark, sf_dir), "fingerprint-city"),
+        "top5_prescribers": job.write_fingerprinted(_presc_report(spark, sf_dir), "fingerprint-presc"),
+    }
+    path = fresh_path(spark, "fingerprints")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {database} location '{path}'")
+    sinks = {
+        "csv": job.csv_sink(f"{path}/csv", balance=True), "parquet": job.parquet_sink(f"{path}/parquet", max_rows=500),
+        "run": job.run_sink(f"{path}/run", "s1"), "once": job.create_once_sink(f"{path}/once"),
+        "table": job.table_sink(f"{path}/tables", database),
+    }
+    found = []
+    for kind, sink in sinks.items():
+        for name, (report, seen) in written.items():
+            loaded = fingerprint.fingerprint(sink(report, name).select(report.columns))
+            found.append(loaded.select(
+                F.lit(kind).alias("sink"), F.lit(tables.REPORT_TABLES[name]).alias("table_name"),
+                F.lit(seen.rows).cast("long").alias("written_rows"),
+                F.lit(seen.total).cast("decimal(38,0)").alias("written_fingerprint"),
+                F.col("row_count").alias("loaded_rows"), F.col("fingerprint").alias("loaded_fingerprint"),
+            ))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def dq_loaded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _save_tables(spark, sf_dir)
@@ -305,6 +379,30 @@ def sink_object_store_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/city_report")
 
 
+def _finished_and_unfinished_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Two committed runs, in two formats, and one that ended before its manifest was written."""
+    root = fresh_path(spark, "committed-runs")
+    report = write_table(_presc_report(spark, sf_dir), "presc-report")
+    runs.write_run(report, root, "presc", "2024-01-07")
+    runs.write_run(report.filter("presc_state < 'NATION_2'"), root, "presc", "2024-01-14", "csv")
+    files.write_run(report, root, "presc", "2024-01-21")
+    return root
+
+
+@query
+def sink_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of finished runs; those of the unfinished one are not seen."""
+    root = _finished_and_unfinished_runs(spark, sf_dir)
+    return runs.read_runs(spark, root, "presc", schemas.PRESCRIBER_REPORT)
+
+
+@query
+def dq_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and fingerprint that each finished run's manifest states, and those of its files."""
+    root = _finished_and_unfinished_runs(spark, sf_dir)
+    return runs.check_runs(spark, root, "presc", schemas.PRESCRIBER_REPORT)
+
+
 @query
 def sink_create_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "create-once")
@@ -334,6 +432,47 @@ def report_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _partitioned_report(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The prescriber report as a warehouse table with a folder per state, and its path."""
+    path = fresh_path(spark, "partitioned")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"create database {database} location '{path}'")
+    table = f"{database}.prescriber_report"
+    tables.save_partitioned(_presc_report(spark, sf_dir), table, f"{path}/report", ["presc_state"])
+    return table, path
+
+
+@query
+def report_tables_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed prescribers of the states that have a city of fewer than 5,000 people; folders of
+    other states are not read."""
+    table, _ = _partitioned_report(spark, sf_dir)
+    small = _city(spark, sf_dir).filter("population < 5000").select("state_id").distinct()
+    rows = spark.table(table)
+    return rows.join(small, rows.presc_state == small.state_id).select(schemas.PRESCRIBER_REPORT.names)
+
+
+@query
+def report_tables_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after two states were loaded again, with fewer rows; the others stay."""
+    table, path = _partitioned_report(spark, sf_dir)
+    again = _presc_report(spark, sf_dir).filter("presc_state in ('NATION_1', 'NATION_2') and trx_cnt >= 49")
+    tables.save_partitioned(again, table, f"{path}/report", ["presc_state"])
+    return spark.table(table).select(schemas.PRESCRIBER_REPORT.names)
+
+
+@query
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact whose texts hold line breaks, quotes and separators, read back record by record."""
+    fact = fixtures.prescriber_fact(spark, sf_dir)
+    odd = ["concat('line\none, ', npi)", "concat('\n\n', npi, '\n')", "'say \"no\"\n'", "specialty_description"]
+    picked = F.expr(f"case npi % 4 when 0 then {odd[0]} when 1 then {odd[1]} when 2 then {odd[2]} else {odd[3]} end")
+    path = fresh_path(spark, "csv-quoted-breaks")
+    as_it_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fact.withColumn("specialty_description", picked).write.csv(path, header=True, nullValue="", **as_it_is)
+    return readers.split_malformed(spark, path, schemas.PRESCRIBER_FACT, line_breaks=True)[0]
+
+
 @query
 def csv_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with blanks at both ends, quotes, separators, backslashes, line breaks, '' and null."""

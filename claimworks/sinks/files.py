@@ -20,21 +20,39 @@ def _as_lines(df: DataFrame) -> DataFrame:
     )
 
 
-def _save(df: DataFrame, path: str, mode: str, file_format: str) -> None:
+def balanced(df: DataFrame) -> DataFrame:
+    """Rows dealt anew, so that no task writes much more than the session's advisory partition size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) however they were grouped before.
+
+    Adaptive execution merges what is small and splits what is large; without it, rows go to as
+    many files as there are shuffle partitions.
+    """
+    return df.hint("rebalance")
+
+
+def _save(df: DataFrame, path: str, mode: str, file_format: str, balance: bool = False, max_rows: int = 0) -> None:
+    """``balance`` deals rows anew for even files; ``max_rows``, if not 0, bounds the rows of a file
+    without any shuffle."""
+    df = _as_lines(df) if file_format == "csv" else df
+    writer = (balanced(df) if balance else df).write.mode(mode).option("maxRecordsPerFile", max_rows)
     if file_format == "csv":
-        _as_lines(df).write.mode(mode).options(**REPORT_CSV).csv(path)
+        writer.options(**REPORT_CSV).csv(path)
     else:
-        df.write.mode(mode).format(file_format).save(path)
+        writer.format(file_format).save(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", balance: bool = False, max_rows: int = 0
+) -> None:
     """CSV with header that :func:`claimworks.sources.readers.read_report_csv` gives back as
     it was: null, ``''``, blanks, quotes, backslashes and line breaks."""
-    _save(df, path, mode, "csv")
+    _save(df, path, mode, "csv", balance, max_rows)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", balance: bool = False, max_rows: int = 0
+) -> None:
+    _save(df, path, mode, "parquet", balance, max_rows)
 
 
 def write_run(df: DataFrame, root: str, key: str, stamp: str, file_format: str = "parquet") -> str:

@@ -24,16 +24,20 @@ def save_table(df: DataFrame, table: str, path: str) -> None:
 def save_partitioned(df: DataFrame, table: str, path: str, by: Sequence[str]) -> None:
     """Put rows into a catalog table with a folder per value of ``by``, replacing only the values that come.
 
-    The table is created when it is not there.  Rows are rebalanced by ``by``: small values
-    share a task and a large one is split over several files.
+    The table is created when it is not there; its files lie at ``path``.  Rows are rebalanced by ``by``:
+    small values share a task and a large one is split over several files.
     """
     spark = df.sparkSession
     names = [name for name in df.columns if name not in by] + list(by)  # a table ends with its partition columns
-    rows = df.select(names).hint("rebalance", *by)
+    writer = df.select(names).hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
     if not spark.catalog.tableExists(table):
-        rows.write.partitionBy(*by).option("path", path).format("parquet").saveAsTable(table)
+        writer.option("path", path).format("parquet").saveAsTable(table)
         return
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    described = spark.sql(f"describe table extended {table}").filter("col_name = 'Partition Provider'")
+    if not described.isEmpty():  # the catalog keeps a list of folders of its own
+        spark.sql(f"alter table {table} recover partitions")
+    spark.catalog.refreshTable(table)
 
 
 def warehouse_rows(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimworks import schemas
+from claimworks.sources.records import csv_records
 
 # Written for null, so that null and '' stay apart in a CSV (fixed value).
 CSV_NULL = r"\N"
@@ -94,14 +95,14 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def parsed_lines(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", line_breaks: bool = False
 ) -> DataFrame:
     """The contract's columns and, for lines that do not fit, their text in ``BAD_LINE``.
 
     The whole line is parsed, once, whatever columns a query later selects, so a line is
     good or bad independently of the query.  Columns are bound by the header; a file whose
-    header has another order fails the query.  Values with line breaks are not supported:
-    each of their lines is malformed.
+    header has another order fails the query.  Values with line breaks are kept if ``line_breaks`` is
+    set, see :mod:`claimworks.sources.records`; otherwise each of their lines is malformed.
     """
     bound = header_schema(spark, path, schema, sep)
     parsed_schema = T.StructType(bound.fields + [T.StructField(BAD_LINE, T.StringType())])
@@ -116,17 +117,18 @@ def parsed_lines(
             F.raise_error(F.concat(F.lit("a file has another header: "), F.col("value"))).cast("boolean")
         )
     )
-    lines = spark.read.text(path).filter((F.length(F.trim("value")) > 0) & ~is_header)
+    text = csv_records(spark, path) if line_breaks else spark.read.text(path)
+    lines = text.filter((F.length(F.trim("value")) > 0) & ~is_header)
     # as a generator the parser stands once in the plan
     parsed = lines.select(F.inline(F.array(F.from_csv("value", parsed_schema.toDDL(), options))))
     return parsed.select(*schema.names, BAD_LINE)
 
 
 def split_malformed(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", line_breaks: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of a CSV with header that fit ``schema``, and the text of those that do not."""
-    parsed = parsed_lines(spark, path, schema, sep)
+    parsed = parsed_lines(spark, path, schema, sep, line_breaks)
     good = parsed.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
     return good, parsed.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
 

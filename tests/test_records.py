@@ -1,0 +1,99 @@
+"""CSV values with line breaks, however the splits cut them."""
+
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+
+from claimworks import schemas
+from claimworks.sources import readers, records
+
+
+def by_hand(text, escape="\\"):
+    """Records by walking over the characters."""
+    found, record, inside, k = [], "", False, 0
+    while k < len(text):
+        c = text[k]
+        if c == escape and escape != '"':
+            record += text[k : k + 2]
+            k += 2
+            continue
+        if c == "\n" and not inside:
+            found.append(record.removesuffix("\r"))
+            record = ""
+        else:
+            inside ^= c == '"'
+            record += c
+        k += 1
+    if record:
+        found.append(record.removesuffix("\r"))
+    return found
+
+
+def random_text(rng, rows, end):
+    pieces = ["a", "é", "1", "", "x y", '"p\nq"', '"\n"', '"a ""b""\n\nc"', '"\r\n,"', '"back\\\\"', '"say \\"no\\"\n"', '"z"']
+    lines = [",".join(rng.choice(pieces) for _ in range(3)) for _ in range(rows)]
+    return end.join([*lines, ""]) if rng.random() < 0.5 else end.join(lines)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_records_equal_a_walk_over_the_text(spark, tmp_path, conf, seed):
+    rng = random.Random(seed)
+    split = rng.choice([11, 40, 64, 300])
+    conf(files__maxPartitionBytes=split, files__openCostInBytes=1)
+    expected = []
+    # a value may not span a whole split
+    for k in range(2):
+        while True:
+            text = random_text(rng, rng.randrange(1, 60), rng.choice(["\n", "\r\n"]))
+            if max((len(r.encode()) for r in by_hand(text)), default=0) + 2 < split:
+                break
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+        expected += by_hand(text)
+    found = [r.value for r in records.csv_records(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(expected)
+
+
+def test_splits_are_read_apart(spark, tmp_path, conf):
+    conf(files__maxPartitionBytes=200, files__openCostInBytes=1)
+    text = "\n".join(f'{k},"one\ntwo",x' for k in range(300))
+    (tmp_path / "f.csv").write_text(text)
+    frame = records.csv_records(spark, f"{tmp_path}/f.csv")
+    assert spark.read.text(f"{tmp_path}/f.csv").rdd.getNumPartitions() > 10
+    assert sorted(r.value for r in frame.collect()) == sorted(by_hand(text))
+
+
+def test_only_longer_records_are_shuffled(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    plan = records.csv_records(spark, f"{tmp_path}/f.csv")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file") == 1
+
+
+def test_a_missing_quote_is_named(spark, tmp_path, conf):
+    conf(files__maxPartitionBytes=200, files__openCostInBytes=1)
+    (tmp_path / "f.csv").write_text('1,"never closed\n' + "2,x\n" * 500)
+    with pytest.raises(PySparkException, match="is a quote missing"):
+        records.csv_records(spark, f"{tmp_path}/f.csv").count()
+
+
+def test_doubled_quotes_without_an_escape(spark, tmp_path):
+    text = '1,"a\\"\n2,"b ""c""\nd"\n'
+    (tmp_path / "f.csv").write_text(text)
+    found = [r.value for r in records.csv_records(spark, f"{tmp_path}/f.csv", escape='"').collect()]
+    assert sorted(found) == sorted(by_hand(text, '"')) == ['1,"a\\"', '2,"b ""c""\nd"']
+
+
+def test_empty_files(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("")
+    assert records.csv_records(spark, f"{tmp_path}/f.csv").count() == 0
+
+
+def test_the_fact_with_line_breaks_and_bad_records(spark, tmp_path):
+    header = ",".join(schemas.PRESCRIBER_FACT.names)
+    good = '1,DOE,"JO\nANN",X,IL,"D\n",= 30,ASPIRIN,3,30,1.5'
+    (tmp_path / "f.csv").write_text("\n".join([header, good, '2,"short\n"', good, ""]))
+    kept, bad = readers.split_malformed(spark, f"{tmp_path}/f.csv", schemas.PRESCRIBER_FACT, line_breaks=True)
+    assert {(r.nppes_provider_first_name, r.specialty_description) for r in kept.collect()} == {("JO\nANN", "D\n")}
+    assert (kept.count(), [r[0] for r in bad.collect()]) == (2, ['2,"short\n"'])
+    # without it each of their lines is malformed
+    assert readers.split_malformed(spark, f"{tmp_path}/f.csv", schemas.PRESCRIBER_FACT)[0].count() == 0

@@ -1,0 +1,191 @@
+"""Restarts, even files, partitioned tables and sketches."""
+
+import pathlib
+
+import pytest
+from executed import executed_plan
+from pyspark.sql import functions as F
+
+from claimworks import job, schemas
+from claimworks.operators import quality, reports
+from claimworks.plans import workspace
+from claimworks.sinks import files, tables
+from claimworks.sources import readers
+
+
+@pytest.fixture
+def inputs(cities, fact, tmp_path):
+    cities({"city": "SPRINGFIELD"}).write.parquet(f"{tmp_path}/city")
+    fact({}, {"npi": 2, "total_claim_count": None}, {"npi": 2}).write.csv(f"{tmp_path}/fact", header=True, nullValue="")
+    return f"{tmp_path}/city", f"{tmp_path}/fact"
+
+
+@pytest.fixture
+def passes(monkeypatch):
+    """Notes each pass over the text of the fact."""
+    seen, parsed = [], job.parsed_lines
+    monkeypatch.setattr(job, "parsed_lines", lambda *a, **k: seen.append(a[1]) or parsed(*a, **k))
+    return seen
+
+
+def test_a_run_that_died_later_does_not_parse_again(spark, inputs, passes, tmp_path, monkeypatch):
+    def dies(*args, **options):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(reports, "city_report", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            job.run(spark, *inputs, [], restart=f"{tmp_path}/stages")
+    result = job.run(spark, *inputs, [job.csv_sink(f"{tmp_path}/out")], restart=f"{tmp_path}/stages")
+    assert len(passes) == 1
+    counts = {r.frame_name: r.row_count for r in result.row_counts.collect()}
+    assert (counts["df_fact"], counts["malformed_lines"]) == (3, 0)
+    assert [r.presc_counts for r in result.city_report.collect()] == [2]
+
+
+def test_other_inputs_or_options_are_other_stages(spark, inputs, passes, tmp_path):
+    run = lambda **options: job.run(spark, *inputs, [], restart=f"{tmp_path}/stages", **options)
+    run()
+    run(normalize_keys=True)
+    assert len(passes) == 2
+    run()
+    assert len(passes) == 2
+    spark.read.text(inputs[1]).limit(1).coalesce(1).write.mode("append").text(inputs[1])
+    assert run().row_counts.filter("frame_name = 'df_fact'").first().row_count == 3
+    assert len(passes) == 3
+
+
+def test_a_stage_without_its_facts_is_computed_anew(spark, inputs, passes, tmp_path):
+    job.run(spark, *inputs, [], restart=f"{tmp_path}/stages")
+    [facts] = pathlib.Path(f"{tmp_path}/stages").glob("*.facts/facts.json")
+    facts.unlink()
+    job.run(spark, *inputs, [], restart=f"{tmp_path}/stages")
+    assert len(passes) == 2
+
+
+def test_restart_still_refuses_malformed_lines(spark, inputs, tmp_path):
+    spark.createDataFrame([("1,DOE",)], "t string").coalesce(1).write.mode("append").text(inputs[1])
+    for _ in range(2):
+        with pytest.raises(ValueError, match="1 malformed lines"):
+            job.run(spark, *inputs, [], restart=f"{tmp_path}/stages")
+
+
+def test_inferred_types_give_the_same_reports(spark, inputs):
+    plain, guessed = (job.run(spark, *inputs, [], infer=infer) for infer in (False, True))
+    for name in ("city_report", "prescriber_report"):
+        assert sorted(getattr(plain, name).collect()) == sorted(getattr(guessed, name).collect())
+
+
+def test_a_job_over_values_with_line_breaks(spark, cities, tmp_path):
+    cities({"city": "X"}).write.parquet(f"{tmp_path}/city")
+    lines = [",".join(schemas.PRESCRIBER_FACT.names), '1,DOE,"JO\nE",X,IL,D,= 30,ASPIRIN,7,30,1.5', '1,"D\n"']
+    (tmp_path / "fact.csv").write_text("\n".join([*lines, ""]))
+    result = job.run(
+        spark, f"{tmp_path}/city", f"{tmp_path}/fact.csv", [job.csv_sink(f"{tmp_path}/out")], line_breaks=True,
+        bad_lines=f"{tmp_path}/bad",
+    )
+    assert [r.presc_fullname for r in result.prescriber_report.collect()] == ["JO\nE DOE"]
+    assert [r[0] for r in spark.read.text(f"{tmp_path}/bad").collect()] == ['1,"D\\n"']
+
+
+# --- even files ------------------------------------------------------------------
+
+
+@pytest.fixture
+def lopsided(spark):
+    """Two thirds of the rows in one partition and state, and a few elsewhere."""
+    rows = spark.range(30_000).select(
+        F.col("id").alias("presc_id"), F.sha2(F.col("id").cast("string"), 256).alias("presc_fullname"),
+        F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 7)).alias("presc_state"),
+    )
+    return rows.repartition(5, "presc_state")
+
+
+def sizes(path):
+    return sorted(p.stat().st_size for p in pathlib.Path(path).rglob("part-*"))
+
+
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_balanced_files_stay_below_the_target(spark, lopsided, tmp_path, conf, file_format):
+    conf(adaptive__advisoryPartitionSizeInBytes=200_000)
+    write = {"csv": files.write_csv, "parquet": files.write_parquet}[file_format]
+    write(lopsided, f"{tmp_path}/plain")
+    write(lopsided, f"{tmp_path}/even", balance=True)
+    assert sizes(f"{tmp_path}/plain")[-1] > 1_000_000
+    # what the target counts are shuffled bytes; written out they are no more than twice as many
+    assert sizes(f"{tmp_path}/even")[-1] < 500_000
+    assert len(sizes(f"{tmp_path}/even")) < 40
+    read = readers.read_report_csv if file_format == "csv" else lambda s, path, schema: s.read.parquet(path)
+    assert read(spark, f"{tmp_path}/even", lopsided.schema).exceptAll(lopsided).count() == 0
+    assert "REBALANCE" in files.balanced(lopsided)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_file_are_bounded_without_a_shuffle(spark, lopsided, tmp_path):
+    files.write_parquet(lopsided, f"{tmp_path}/bounded", max_rows=1000)
+    found = spark.read.parquet(f"{tmp_path}/bounded").groupBy("_metadata.file_name").count()
+    assert found.agg(F.max("count"), F.sum("count")).first() == (1000, 30_000)
+
+
+# --- partitioned tables ------------------------------------------------------------
+
+
+def test_reloading_one_state_leaves_the_files_of_the_others(spark, lopsided, tmp_path, conf):
+    conf(adaptive__advisoryPartitionSizeInBytes=200_000)
+    spark.sql(f"create database parted location '{tmp_path}/db'")
+    try:
+        path = f"{tmp_path}/report"
+        tables.save_partitioned(lopsided, "parted.r", path, ["presc_state"])
+        before = {p: p.stat().st_mtime_ns for p in pathlib.Path(path).rglob("part-*")}
+        hot = [p for p in before if "HOT" in str(p)]
+        assert len(hot) > 2 and len(before) - len(hot) <= 2 * 7
+        tables.save_partitioned(lopsided.filter("presc_state = 'S3'").limit(2), "parted.r", path, ["presc_state"])
+        after = {p: p.stat().st_mtime_ns for p in pathlib.Path(path).rglob("part-*")}
+        assert {p for p in before if after.get(p) != before[p]} == {p for p in before if "S3" in str(p)}
+        counts = {r.presc_state: r["count"] for r in spark.table("parted.r").groupBy("presc_state").count().collect()}
+        assert counts["S3"] == 2 and counts["HOT"] == 20_000 and len(counts) == 8
+        tables.save_partitioned(lopsided.limit(0), "parted.r", path, ["presc_state"])
+        assert spark.table("parted.r").count() == sum(counts.values())
+    finally:
+        spark.sql("drop database parted cascade")
+
+
+def test_folders_of_other_states_are_pruned_at_run_time(spark, lopsided, tmp_path):
+    spark.sql(f"create database pruned location '{tmp_path}/db'")
+    try:
+        tables.save_partitioned(lopsided, "pruned.r", f"{tmp_path}/report", ["presc_state"])
+        spark.createDataFrame([("S1", 5), ("HOT", 50)], "s string, n int").write.parquet(f"{tmp_path}/states")
+        small = spark.read.parquet(f"{tmp_path}/states").filter("n < 10")
+        frame = spark.table("pruned.r").join(small, F.col("presc_state") == F.col("s"))
+        assert "dynamicpruning" in executed_plan(frame).lower()
+        assert frame.count() == lopsided.filter("presc_state = 'S1'").count()
+    finally:
+        spark.sql("drop database pruned cascade")
+
+
+# --- sketches --------------------------------------------------------------------
+
+
+def test_sketches_of_nulls_and_empty_frames(spark):
+    frame = spark.createDataFrame([(None, "a"), (None, "b"), (None, "a")], "n int, t string")
+    rows = {r.column_name: r for r in quality.sketch_profile(frame).collect()}
+    assert (rows["n"].null_count, rows["n"].distinct_count, rows["n"].quantiles) == (3, 0, None)
+    assert (rows["t"].null_count, rows["t"].distinct_count, rows["t"].quantiles) == (0, 2, None)
+    empty = quality.sketch_profile(frame.limit(0)).collect()
+    assert [(r.row_count, r.distinct_count) for r in empty] == [(0, 0), (0, 0)]
+
+
+def test_sketches_of_many_values_merge(spark):
+    frame = spark.range(200_000).select((F.col("id") % 50_000).alias("k"), (F.col("id") / 7).alias("x"))
+    halves = [quality.sketch_profile(frame.filter(f"k % 2 = {k}")) for k in (0, 1)]
+    merged = {r.column_name: r for r in quality.merged_distinct(halves[0].unionByName(halves[1])).collect()}
+    assert merged["k"].row_count == 200_000 and abs(merged["k"].distinct_count - 50_000) < 2500
+    assert abs(merged["x"].distinct_count - 200_000) < 10_000
+    rows = {r.column_name: r for r in quality.sketch_profile(frame).collect()}
+    for share, quantile in zip(quality.QUANTILES, rows["x"].quantiles):
+        assert abs(quantile * 7 / 200_000 - share) < 0.01
+
+
+def test_sketches_take_one_pass(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    plan = executed_plan(quality.sketch_profile(spark.read.parquet(f"{tmp_path}/t")))
+    assert plan.count("Scan parquet") == 1
