@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +45,23 @@ def shingles(tokens: Column, size: int) -> Column:
     return F.when(count == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(run))
 
 
+def masked(frame: DataFrame, but: Sequence[str] = ()) -> list[Column]:
+    """The columns of ``frame`` under names (``c0``, ...) that clash with nothing, all ``but`` some."""
+    return [
+        F.col(f"`{name}`").alias(name if name in but else f"c{at}") for at, name in enumerate(frame.columns)
+    ]
+
+
+def unmasked(frame: DataFrame, but: Sequence[str] = (), names: Sequence[str] | None = None) -> list[Column]:
+    """The columns of ``frame``, or only ``names``, out of what :func:`masked` selected."""
+    wanted = frame.columns if names is None else names
+    return [
+        F.col(name if name in but else f"c{at}").alias(name)
+        for at, name in enumerate(frame.columns)
+        if name in wanted
+    ]
+
+
 def sample_order(key: Column, seed: int) -> Column:
     """A number that orders rows at random, the same in every run."""
     return F.xxhash64(F.lit(seed), key.cast("string"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import handing_back, let, lower_ascii, shingles, words
+from claimworks.llm.common import handing_back, let, lower_ascii, masked, shingles, unmasked, words
 from claimworks.plans.workspace import write_lookup, write_table
 
 ROWS = 4  # minima in a band
@@ -431,6 +431,12 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one of those that repeat id and words."""
+    # whatever the columns are called, they are in the way of none here
+    own = ("doc_id", "text")
+    return _one_of_each(docs.select(*masked(docs, own)), **options).select(*unmasked(docs, own))
+
+
+def _one_of_each(docs: DataFrame, **options: int) -> DataFrame:
     found, rows = _judged(docs, **options)
     found = write_table(found, "dedup-found")
     if rows is not None:
@@ -447,6 +453,7 @@ def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
     if repeated.isEmpty():
         return kept
     several = docs.join(repeated.join(stay, "doc_id", "left_semi"), "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    one = several.withColumn("_at", F.row_number().over(first)).filter("_at = 1").drop("_at")
-    return kept.unionByName(one)
+    # partial aggregates: a row that is repeated very often is not gathered
+    others = [name for name in docs.columns if name != "doc_id"]
+    one = several.groupBy("doc_id").agg(F.min_by(F.struct(*others), "text").alias("first"))
+    return kept.unionByName(one.select("doc_id", "first.*"))
