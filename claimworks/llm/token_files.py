@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimworks.llm.word_encoding import Remembered
@@ -99,11 +99,13 @@ class Encoder:
 
         settings = json.loads(source)
         self.tokenizer = Tokenizer.from_str(source)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = vocabulary_type(self.tokenizer.get_vocab_size())
         self.by_word = splits_at_spaces(settings)
+        # texts that hold the string of an added token are left to the library as they are
+        added = [re.escape(token["content"]) for token in settings.get("added_tokens") or []]
+        self.odd = "|".join([ODD, *added])
         self.remembered = Remembered(self._words)
         if not self.by_word:
             return
@@ -145,7 +147,7 @@ class Encoder:
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of ids of each."""
         counts = np.zeros(len(texts), np.int64)
-        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False).astype(bool)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False).astype(bool)
         odd |= not self.by_word
         usual, parts = np.flatnonzero(~odd), {}
         whole = np.flatnonzero(odd)
@@ -286,6 +288,13 @@ class SequenceFile:
     def mask(self, index: int) -> np.ndarray:
         return self._at(1, index).to_numpy(zero_copy_only=False)
 
+    def packed_mask(self, index: int) -> np.ndarray:
+        """The mask's bits, eight to a byte, the lowest first, as a view; for lengths of whole bytes."""
+        mask = self._at(1, index)
+        if mask.offset % 8 or len(mask) % 8:
+            raise ValueError("the sequences' length is no multiple of 8")
+        return np.frombuffer(mask.buffers()[1], np.uint8)[mask.offset // 8 :][: len(mask) // 8]
+
     def flat(self) -> np.ndarray:
         """All ids of the file without the filling."""
         parts = [b.column(0).flatten().to_numpy() for b in self.batches]
@@ -338,21 +347,40 @@ def _writer(source: Broadcast, root: str, length: int):
     return run
 
 
-def as_uri(path: str) -> str:
-    """A path that pyarrow's file systems understand."""
-    return re.sub(r"^file:/(?!//)", "file:///", path) if ":" in path.split("/")[0] else f"file://{path}"
+# Names of file systems in Spark, and of the same ones in pyarrow where they differ (fixed values).
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def as_uri(spark: SparkSession, path: str, shared: bool) -> str:
+    """The path where Spark's default file system puts it, as pyarrow's file systems name it.
+
+    A folder of the machine itself is refused on a cluster unless it is known to be ``shared``.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    scheme, rest = system.makeQualified(target).toString().split(":", 1)
+    master = spark.sparkContext.master
+    if scheme == "file" and not shared and not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"{path} lies on each machine itself; say shared=True if it is a shared mount")
+    # one slash begins a path, two an authority
+    rest = rest if rest.startswith("//") else f"//{rest}"
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, root: str | None = None, length: int = LENGTH
+    docs: DataFrame, tokenizer: str, root: str | None = None, length: int = LENGTH, shared: bool = False
 ) -> DataFrame:
-    """Write the files below ``root`` (a shared folder) and return their list in order.
+    """Write the files below ``root`` and return their list in order.
+
+    ``root`` is a folder that all machines see, by default one below ``spark.checkpoint.dir``; a ``file:``
+    folder of a cluster's must be declared as ``shared``.
 
     ``tokenizer`` is the path of a tokenizer file.  The list has part, tokens_file,
     spans_file, documents, n_tokens and start (ids of all files before).
     """
     spark = docs.sparkSession
-    root = as_uri(root or fresh_path(spark, "token-files"))
+    # the work folder is shared by its setting
+    root = as_uri(spark, root or fresh_path(spark, "token-files"), shared or root is None)
     source = spark.sparkContext.broadcast(load_tokenizer(tokenizer))
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
