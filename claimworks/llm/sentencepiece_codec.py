@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimworks.llm.common import handing_back
-from claimworks.llm.word_encoding import WordEncoder
+from claimworks.llm.word_encoding import CACHED_WORDS, WordEncoder
 
 MARK = "▁"  # stands for a space (fixed value)
 # Kinds of pieces and models in the model file (fixed values).
@@ -39,6 +39,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 TEXTS = 500  # encoded together
 THREADS = 2  # of one task
+DIFFERING = 100_000  # words that may be noted to differ; beyond, these and all encodings are forgotten
+# Remembered words of a generation where nothing is verified: encoding a word again is cheap then.
+UNVERIFIED_WORDS = 60_000
 
 
 @dataclass
@@ -204,7 +207,7 @@ class Codec:
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(self.spec)
-        self.encoder = WordEncoder(self._encoded, ODD)
+        self.encoder = WordEncoder(self._encoded, ODD, CACHED_WORDS if verify else UNVERIFIED_WORDS)
         if not self.by_word:
             self.encoder.odd = re.compile("")  # every text whole
         self.bytes_of = [self._bytes_of(piece, kind) for piece, _, kind in self.spec.pieces]
@@ -224,12 +227,14 @@ class Codec:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if self.verify:
             known = self.reference.encode(texts, num_threads=1)
-            if len(self.differing) > 100_000:
-                self.differing.clear()
             self.differing.update(t for t, a, b in zip(texts, ids, known) if a != b)
         return [np.array(i, "<i4").tobytes() for i in ids]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.differing) > DIFFERING:
+            # a word whose encoding is remembered has been compared, and its mark is kept as long
+            self.differing.clear()
+            self.encoder.words.forget()
         return [np.frombuffer(ids, "<i4") for ids in self.encoder(texts)]
 
     def agrees(self, text: str) -> bool:
@@ -258,9 +263,9 @@ def codec_of(model: bytes, threads: int, verify: bool) -> Codec:
     return Codec(model, threads, verify)
 
 
-def _coder(model: Broadcast, threads: int):
+def _coder(model: Broadcast, threads: int, verify: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(model.value, threads, True)
+        codec = codec_of(model.value, threads, verify)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
@@ -269,34 +274,37 @@ def _coder(model: Broadcast, threads: int):
                 ids = codec.encode(texts)
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.concatenate([np.zeros(0, "<i4"), *ids])
+                trips = [codec.decode(i) == codec.normalised(t) for i, t in zip(ids, texts)]
+                parity = {"parity": pa.array([codec.agrees(t) for t in texts], pa.bool_())} if verify else {}
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
                         "n_tokens": pa.array(np.diff(ends).astype(np.int64)),
                         "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        "parity": pa.array([codec.agrees(t) for t in texts], pa.bool_()),
-                        "round_trip": pa.array(
-                            [codec.decode(i) == codec.normalised(t) for i, t in zip(ids, texts)], pa.bool_()
-                        ),
+                        **parity,
+                        "round_trip": pa.array(trips, pa.bool_()),
                     }
                 )
 
     return run
 
 
-def encode_documents(docs: DataFrame, model_path: str, threads: int = THREADS) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, model_path: str, threads: int = THREADS, verify: bool = True
+) -> DataFrame:
     """doc_id, n_tokens, ids, parity and round_trip of every document.
 
-    ``model_path`` names a model file that the driver can read; it is broadcast (a MB or so).
+    Without ``verify`` the sentencepiece library is not loaded and there is no ``parity``.  ``model_path`` names a model file that the driver can read; it is broadcast (a MB or so).
     """
     with open(model_path, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
+    parity = "parity boolean, " * verify
     return narrow.mapInArrow(
-        handing_back(_coder(model, threads)),
-        "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean",
+        handing_back(_coder(model, threads, verify)),
+        f"doc_id long, n_tokens long, ids array<int>, {parity}round_trip boolean",
     )
 
 

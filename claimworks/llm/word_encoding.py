@@ -18,15 +18,18 @@ class Remembered:
     one is full it becomes the older one, and words that are met again move over.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], words: int = CACHED_WORDS) -> None:
+        self.encode, self.words = encode, words
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.seen = np.zeros(2**SEEN_BITS, bool)
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def __call__(self, words: list[str]) -> list[bytes]:
         """The encodings of distinct words."""
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > self.words:
             self.older, self.known = self.known, {}
         if np.count_nonzero(self.seen) > len(self.seen) // 2:
             self.seen[:] = False
@@ -57,8 +60,10 @@ class WordEncoder:
     ``odd`` are encoded whole.  ``encode`` encodes pieces and texts to little-endian bytes.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], odd: re.Pattern) -> None:
-        self.encode, self.odd, self.words = encode, odd, Remembered(encode)
+    def __init__(
+        self, encode: Callable[[list[str]], list[bytes]], odd: re.Pattern, words: int = CACHED_WORDS
+    ) -> None:
+        self.encode, self.odd, self.words = encode, odd, Remembered(encode, words)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
