@@ -162,7 +162,6 @@ def test_token_files_round_trip(spark, documents):
     files = token_files.write_token_files(docs, queries.BYTE_BPE, length=16)
     rows = token_files.read_spans(files).orderBy("start").collect()
     library = Tokenizer.from_file(queries.BYTE_BPE)
-    library.encode_special_tokens = True
     texts = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in docs.collect())
     expected = Counter()
     for has_id, doc_id, text in texts:
@@ -179,9 +178,41 @@ def test_token_files_round_trip(spark, documents):
     last = len(opened) - 1
     assert opened.tokens(last).base is not None or not opened.tokens(last).flags.owndata  # a view
     assert opened.mask(last).sum() == (first.n_tokens - 1) % 16 + 1
+    packed = opened.packed_mask(last)
+    assert not packed.flags.owndata
+    assert np.unpackbits(packed, bitorder="little").astype(bool).tolist() == opened.mask(last).tolist()
     assert token_files.read_spans(token_files.write_token_files(docs.limit(0), queries.BYTE_BPE)).count() == 0
 
 
+def test_token_files_lie_where_spark_puts_them(spark, tmp_path):
+    assert token_files.as_uri(spark, f"{tmp_path}/x", False) == f"file://{tmp_path}/x"
+    assert token_files.as_uri(spark, f"file:{tmp_path}/x", False) == f"file://{tmp_path}/x"
+    hadoop = spark._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    hadoop.set("fs.defaultFS", "viewfs://shared/")
+    hadoop.set("fs.viewfs.mounttable.shared.link./work", f"file:{tmp_path}")
+    try:
+        assert token_files.as_uri(spark, "/work/x", False) == "viewfs://shared/work/x"
+    finally:
+        hadoop.set("fs.defaultFS", before)
+
+
+def test_machine_local_token_files_are_refused_on_a_cluster():
+    class Cluster:
+        """The parts of a session that the check looks at."""
+
+        def __init__(self, real):
+            self._jvm, self._jsc = real._jvm, real._jsc
+            self.sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    from pyspark.sql import SparkSession
+
+    cluster = Cluster(SparkSession.getActiveSession())
+    with pytest.raises(ValueError, match="shared=True"):
+        token_files.as_uri(cluster, "/scratch/x", False)
+    assert token_files.as_uri(cluster, "/scratch/x", True) == "file:///scratch/x"
+
+
 # --- mixing -------------------------------------------------------------------------
 
 
@@ -207,6 +238,36 @@ def test_a_large_mean_is_split(documents):
     assert abs(counts["rare"] - 402) < 120
 
 
+def test_every_row_has_a_draw_of_its_own(documents):
+    """Null and shared ids, and rows that are equal in all columns."""
+    null_ids = [(None, f"n{k}", "a") for k in range(3000)]
+    shared = [(7, f"s{k}", "b") for k in range(3000)]
+    equal = [(8, "same", "c")] * 3000
+    other = [(k, f"o{k}", "d") for k in range(3000)]
+    mixed = mixing.mix(documents(*null_ids, *shared, *equal, *other), {}).collect()
+    counts = Counter(r.source for r in mixed)
+    assert all(abs(counts[source] - 3000) < 4 * 3000**0.5 for source in "abcd"), counts
+    assert Counter(r.copy for r in mixed if r.source == "c")[0] > 1500
+
+
+def test_mix_spreads_a_hot_id(spark, documents, conf):
+    conf(shuffle__partitions=20, adaptive__coalescePartitions__enabled=False)
+    rows = [(7, f"s{k}" if k % 2 else "same", "b") for k in range(4000)]
+    parts = mixing.mix(documents(*rows), {}).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 2.5 * 4000 / 20
+
+
+def test_mix_takes_columns_of_any_name_and_type(spark):
+    rows = [(k, "t" if k < 9 else None, "s", [k], {"k": 1}, b"x", k, k) for k in range(50)] * 2
+    names = "doc_id long, text string, source string, `a.b` array<int>, _sums map<string,int>, _source binary, _parts int, "
+    docs = spark.createDataFrame(rows, names + "key int")
+    docs = docs.selectExpr("*", "1 as _salt_of", "2 as occurrence", "3 as row", "4 as Place")
+    mixed = mixing.mix(docs, {}, size=3.0)
+    assert mixed.columns == [*docs.columns[:-1], "copy", "place"]
+    assert abs(mixed.count() - 300) < 80
+    assert {r["_parts"] for r in mixed.collect()} <= set(range(50))
+
+
 # --- SentencePiece ------------------------------------------------------------------
 
 
@@ -366,6 +427,19 @@ def test_estimate_is_corrected_for_chance():
     assert near_dedup.similarity(near_dedup.HASHES) == 1
 
 
+def test_one_of_each_with_clashing_names_and_repeated_ids(documents):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (1, text), (1, text), (2, text), (3, "other words altogether"), (3, "other words altogether")]
+    docs = documents(*rows, (None, text)).selectExpr("*", "1 as _at", "2 as _row", "3 as row", "4 as root", "5 as k0")
+    kept = near_dedup.one_of_each(docs, size=5, percent=80)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
+    clashing = docs.unionByName(docs.filter("doc_id = 2").selectExpr(
+        "3L as doc_id", *[f"`{c}`" for c in docs.columns[1:]]))
+    kept = near_dedup.one_of_each(clashing, size=5, percent=80).collect()
+    assert sorted((str(r.doc_id), r.text[:3]) for r in kept) == [("1", "w0 "), ("3", "oth"), ("None", "w0 ")]
+
+
 # --- pipeline -----------------------------------------------------------------------
 
 
@@ -380,3 +454,56 @@ def test_pipeline(spark, sf_dir):
     assert 0 < at.count() <= 2 * docs.count()
     assert {"pipeline", *queries.QUERIES} <= set(entry_points.queries())
     assert corpus_pipeline.run(spark, sf_dir).columns == at.columns
+
+
+def test_pipeline_stage_by_stage_on_odd_rows(spark, sf_dir, tmp_path):
+    """Null ids, texts and sources, repeated and empty rows, clashing columns: each stage against what its
+    operator says of its own input, and the ids of the last against the library."""
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = docs.limit(40).selectExpr("cast(null as long) as doc_id", "text", "lang", "cast(null as string) as source", "n_chars")
+    blank = docs.limit(3).selectExpr("doc_id", "case when doc_id % 2 = 0 then '' end as text", "lang", "source", "n_chars")
+    docs = docs.unionByName(odd).unionByName(blank).unionByName(docs.limit(20))
+    docs = docs.selectExpr("*", *[f"'x' as {n}" for n in ("_source", "_at", "rule", "score", "row", "label", "quality")])
+    stages = dict(corpus_pipeline.STAGES)
+    path = [0]
+
+    def through(name, frame):
+        path[0] += 1
+        stages[name](spark, frame, sf_dir).write.parquet(f"{tmp_path}/{path[0]}")
+        after = spark.read.parquet(f"{tmp_path}/{path[0]}")
+        if name != "sentencepiece encoding":
+            assert after.columns == docs.columns
+        return after
+
+    rows = lambda frame: Counter((r.doc_id, r.text) for r in frame.collect())
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ruled = through("quality rules", docs)
+    judged, _ = quality_rules.judge(docs, labels)
+    assert sum(rows(ruled).values()) == judged.filter("kept").count()
+    assert not any(measured(text)[0] < 50 for _, text in rows(ruled))
+    scored = through("quality classifier", ruled)
+    model = quality_classifier.fit(ruled, labels)
+    assert sum(rows(scored).values()) == quality_classifier.score(ruled, model).filter("predicted = 1").count()
+    one = through("near-duplicate removal", scored)
+    assert not rows(one) - rows(scored)
+    named = [(i, t) for i, t in rows(one).elements() if i is not None]
+    assert len(named) == len(set(named)) == len({i for i, _ in named})
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for _, t in named for w in [WORD.findall(t.lower())]]
+    where = {}
+    for k, shingles in enumerate(sets):
+        for other in {j for s in shingles for j in where.get(s, ())}:
+            both = len(shingles & sets[other])
+            assert 100 * both < 80 * (len(shingles) + len(sets[other]) - both)
+        for s in shingles:
+            where.setdefault(s, []).append(k)
+    mixed = through("source mixing", one)
+    assert set(rows(mixed)) <= set(rows(one)) and mixed.count() > 0
+    ids = through("sentencepiece encoding", mixed).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    expected = Counter((i, tuple(library.encode(t))) for i, t in rows(mixed).elements())
+    assert Counter((r.doc_id, tuple(r.ids)) for r in ids) == expected
+    assert all(r.round_trip for r in ids)
+    for name in stages:  # an empty table goes through every stage
+        assert through(name, docs.limit(0)).count() == 0
