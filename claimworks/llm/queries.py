@@ -19,8 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 NEIGHBOURS = 20
-# How far the triangle inequality is relaxed; recall is measured in the tests.
-PRUNING = 1.2
+# How far the triangle inequality is relaxed. Measured share of pairs compared and recall: 0.93, 0.96 of 500
+# vectors, 0.91, 0.97 of 2,000 and 0.79, 0.96 of 51,282 (64 dimensions without structure, see the README).
+PRUNING = 6.0
 SHARDS = 24
 # The hot source counts twice, every other one once.
 MIX_WEIGHTS = {"src0": 2.0}
