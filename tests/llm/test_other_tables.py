@@ -42,6 +42,34 @@ def test_recall_of_the_query(spark, sf_dir):
     assert len(found & expected) >= 0.95 * len(expected)
 
 
+def test_the_tree_prunes_at_the_querys_factor(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
+    points = np.array([r.embedding for r in vectors], float)
+    asking = np.flatnonzero([r.vec_id % 20 == 0 for r in vectors])
+    tree = vector_search.Tree(points)
+    exact, relaxed = (vector_search.Search(tree, points[asking], asking, 20, f) for f in (1.0, queries.PRUNING))
+    found = sum(len(set(a) & set(b)) for a, b in zip(exact.best.tolist(), relaxed.best.tolist()))
+    assert relaxed.share < 0.97 and found >= 0.9 * exact.best.size
+    # vectors near a few centres are what such trees are for
+    random = np.random.default_rng(2)
+    close = np.repeat(random.normal(size=(40, 16)), 100, axis=0) + 0.05 * random.normal(size=(4000, 16))
+    tree, asking = vector_search.Tree(close), np.arange(0, 4000, 20)
+    exact = vector_search.Search(tree, close[asking], asking, 20, 1.0)
+    scores = close[asking] @ close.T
+    scores[np.arange(len(asking)), asking] = -np.inf
+    assert np.allclose(exact.score, -np.sort(-scores, axis=1)[:, :20])
+    assert exact.share < 0.3
+
+
+def test_rows_that_share_an_id_ask_each(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (3, [0.5, 0.25])]
+    found = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 2)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect())
+    assert got == sorted([
+        (20, 1, 3, 0.5), (20, 2, 20, 0.0), (20, 1, 20, 1.0), (20, 2, 3, 0.25), (20, 1, 20, 1.0), (20, 2, 3, 0.25),
+    ])
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
