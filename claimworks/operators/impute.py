@@ -10,14 +10,16 @@ or in none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from claimworks.plans.membership import key_bitmap, with_membership
 from claimworks.plans.workspace import Lookup, write_lookup, write_table
 
 PRESCRIBER = "presc_id"
 CLAIMS = "trx_cnt"
 _MEAN = "mean_claims"
+_LACKS = "lacks_claims"
 
 
 def _rounded_mean(total: Column, rows: Column) -> Column:
@@ -98,16 +100,24 @@ def impute_trx(rows: DataFrame, broadcast_bytes: int | None = None) -> DataFrame
     """Rows with missing claim counts filled in.
 
     Runs one narrow pass for the means.  If they are measured to be small, rows get
-    theirs without any shuffle.  Otherwise only the rows without a count are
-    shuffled; those of one busy prescriber are split by the adaptive skew join.
+    theirs without any shuffle.  Otherwise a second pass parts the rows into two work tables: those
+    that lack a count and may have a mean, by a bitmap of the prescribers that have one, and all others.
+    Only the former are shuffled; those of one busy prescriber are split by the adaptive skew join.
+    Either way the rows' source is read twice.
     """
-    means = write_lookup(claim_means(claim_sums(rows)), "claim-means")
+    counted = Observation()
+    found = claim_means(claim_sums(rows)).observe(counted, F.count(F.lit(1)).alias("means"))
+    means = write_lookup(found, "claim-means")
     columns = [
         F.coalesce(CLAIMS, _MEAN).alias(CLAIMS) if name == CLAIMS else F.col(name)
         for name in rows.columns
     ]
     if means.fits_broadcast(broadcast_bytes):
         return _join_means(rows, means, broadcast_bytes).select(columns)
-    known = rows.filter(F.col(CLAIMS).isNotNull())
-    missing = rows.filter(F.col(CLAIMS).isNull())
-    return known.unionByName(_join_means(missing, means, broadcast_bytes).select(columns))
+    bitmap, bits = key_bitmap(means.frame, PRESCRIBER, counted.get["means"])
+    lacking = F.when(F.col(CLAIMS).isNull(), F.col(PRESCRIBER))
+    parted = with_membership(rows, lacking, bitmap, bits, _LACKS)
+    parted = write_table(parted, "claim-rows", by=_LACKS)
+    complete = parted.filter(~F.col(_LACKS)).select(rows.columns)
+    filled = _join_means(parted.filter(_LACKS).select(rows.columns), means, broadcast_bytes)
+    return complete.unionByName(filled.select(columns))

@@ -91,10 +91,14 @@ def _value_bytes(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def write_table(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """Run ``df`` once, keep it as parquet and return the frame that reads it."""
+def write_table(df: DataFrame, label: str, keep: bool = False, by: str | None = None) -> DataFrame:
+    """Run ``df`` once, keep it as parquet and return the frame that reads it.
+
+    With ``by``, a column of few values, each value has a folder of its own, which a filter on it
+    reads alone.
+    """
     path = fresh_path(df.sparkSession, label, keep)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,10 +7,10 @@ import pytest
 from executed import executed_plan
 from pyspark.sql import functions as F
 
-from claimworks.operators import clean, reports
+from claimworks.operators import clean, impute, reports
 from claimworks.operators.impute import impute_trx, prescriber_totals
 from claimworks.operators.rank import value_ranks, with_dense_rank
-from claimworks.plans import workspace
+from claimworks.plans import membership, workspace
 
 
 def half_up(total, rows):
@@ -175,6 +175,61 @@ def test_busy_prescriber_is_split_when_means_are_not_broadcast(spark, conf):
     assert imputed.count() == 40_000
 
 
+def test_the_fact_is_read_twice_on_either_side_of_the_bound(spark, conf, monkeypatch):
+    """Scans of the source in every job that runs, and in the frame that comes out."""
+    conf(**SKEW)
+    rows = hot_frame(spark)
+    source = rows.inputFiles()[0].rsplit("/", 1)[0]
+    plans, save = [], workspace.write_table
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(df, *args, **options)
+
+    monkeypatch.setattr(workspace, "write_table", noted)
+    monkeypatch.setattr(impute, "write_table", noted)
+    place = source.rsplit("/", 1)[1][:40]
+    for bound in (None, 0):
+        plans.clear()
+        imputed = impute_trx(rows, broadcast_bytes=bound)
+        plans.append(imputed._jdf.queryExecution().executedPlan().toString())
+        assert sum(plan.count(place) for plan in plans) == 2
+        # only rows that lack a count reach an exchange, and none does below the bound
+        assert ("Exchange hashpartitioning(presc_id" in plans[-1]) == (bound == 0)
+    assert not any(place in name for name in imputed.inputFiles())
+
+
+def test_prescribers_without_any_count_are_not_shuffled(spark, conf):
+    """Both kinds of rows: only those whose prescriber has a mean are parted off."""
+    conf(**SKEW)
+    rows = spark.range(20_000).select(
+        (F.col("id") % 4000).alias("presc_id"), F.col("id"),
+        F.when((F.col("id") % 4000 >= 2000) & (F.col("id") < 8000), F.col("id").cast("int")).alias("trx_cnt"),
+    )
+    imputed = impute_trx(workspace.write_table(rows, "some"), broadcast_bytes=0)
+    lacking = [f for f in imputed.inputFiles() if "lacks_claims=true" in f]
+    parted = spark.read.parquet(*lacking)
+    assert {r.kind for r in parted.select((F.col("presc_id") >= 2000).alias("kind")).distinct().collect()} >= {True}
+    wrong = parted.filter("presc_id < 2000").count()
+    assert wrong < 0.1 * 10_000  # the bitmap's false hits
+    assert listed(imputed, "id", "trx_cnt") == listed(impute_trx(workspace.write_table(rows, "some")), "id", "trx_cnt")
+
+
+def test_bitmaps_find_every_key_and_few_others(spark):
+    keys = workspace.write_table(spark.range(0, 300_000, 3).withColumnRenamed("id", "k"), "keys")
+    for most, false_hits in ((2**28, 0.06), (2**15, 1.01)):
+        bitmap, bits = membership.key_bitmap(keys, "k", 100_000, most)
+        assert bits <= max(most, 2**15)
+        rows = spark.range(300_000).select(F.when(F.col("id") % 1000 != 1, F.col("id")).alias("k"))
+        found = membership.with_membership(rows, F.col("k"), bitmap, bits, "known")
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        counts = {(r[0], r[1]): r[2] for r in found.groupBy(F.expr("k % 3 = 0"), "known").count().collect()}
+        assert (True, False) not in counts and (None, True) not in counts
+        assert counts.get((False, True), 0) < false_hits * 200_000
+    empty, bits = membership.key_bitmap(keys.limit(0), "k", 0)
+    assert membership.with_membership(keys, F.col("k"), empty, bits, "known").filter("known").count() == 0
+
+
 def test_big_state_is_split_when_ranks_are_not_broadcast(spark, conf):
     conf(**SKEW)
     ranked = with_dense_rank(hot_frame(spark), "presc_state", "trx_cnt", broadcast_bytes=0)
@@ -232,7 +287,7 @@ def test_local_mode_falls_back_to_one_temporary_folder():
 @pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 0])
 def test_row_report_reads_the_fact_three_times_at_most(spark, fact, tmp_path, monkeypatch, broadcast_bytes):
     """Once for the means, once or twice for the kept rows, never for the ranks."""
-    from claimworks.plans import workspace
+    from claimworks.plans import membership, workspace
 
     path = f"{tmp_path}/fact"
     fact({}, {"total_claim_count": None}, {"npi": 2, "total_claim_count": 7}).write.parquet(path)
