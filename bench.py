@@ -48,7 +48,7 @@ def main() -> None:
     fixtures.prescriber_csv_path(spark, sf_dir)
     inputs = time.perf_counter() - start
 
-    seconds = {}
+    seconds, every = {}, {}
     for name in HEADLINE:
         times = []
         for _ in range(1 + runs):
@@ -56,6 +56,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:]), 3)
+        every[name] = [round(t, 3) for t in times]
     spark.stop()
     print(
         json.dumps(
@@ -66,6 +67,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "inputs_sec": round(inputs, 3),
+                "all_runs": every,
             }
         )
     )
