@@ -220,10 +220,11 @@ def _bin(feature: str, cuts: Sequence[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: F.col(feature) > c))
 
 
-def _best(
-    rows: DataFrame, cuts: dict[str, list[float]]
-) -> tuple[Condition | None, float, float, float]:
-    """The condition of largest gain on ``rows``; its gain and the rows' label counts."""
+Aside = frozenset[tuple[str, bool]]  # features and directions
+
+
+def _best(rows: DataFrame, aside: Aside = frozenset()) -> tuple[Condition | None, float, float]:
+    """The condition of largest gain on ``rows`` that is not ``aside``, and the rows' label counts."""
     per_feature = F.explode(
         F.array(
             *[
@@ -256,24 +257,38 @@ def _best(
             threshold = (row.most + ordered[at + 1].least) / 2
             for above, p, n in ((True, all_p - low_p, all_n - low_n), (False, low_p, low_n)):
                 gain = _gain(p, n, all_p, all_n)
-                if gain > best_gain + 1e-9:
+                if gain > best_gain + 1e-9 and (feature, above) not in aside:
                     best, best_gain = Condition(feature, above, threshold), gain
-    return best, best_gain, all_p, all_n
+    return best, all_p, all_n
+
+
+def _grown(rows: DataFrame, aside: Aside, most: int | None) -> list[Condition]:
+    """Conditions added one by one, the best first, until they cover rejects only or none helps."""
+    grown: list[Condition] = []
+    while most is None or len(grown) < most:
+        best, p, n = _best(rows.filter(_all(grown)), frozenset() if grown else aside)
+        if best is None or p == 0 or n == 0:
+            break
+        grown.append(best)
+    return grown
 
 
 def learn(
     labelled: DataFrame,
     *,
     bins: int = 24,
-    max_rules: int = 8,
-    max_conditions: int = 3,
+    max_rules: int | None = None,
+    max_conditions: int | None = None,
     min_precision: float = 0.8,
     min_rows: int = 4,
 ) -> DecisionList:
     """Learn the list from measured rows with a ``quality`` of 0 or 1 and a ``doc_id``.
 
     ``min_precision`` and ``min_rows`` are what a pruned rule must reach on the pruning
-    third: its share of rejects, and the rejects it covers.
+    third: its share of rejects, and the rejects it covers.  Where a rule fails, what its first condition
+    measures is set aside and the next best one is tried; covering ends when none is left, or when too few
+    rejects are left for any rule to pass.  Nothing else bounds the list unless ``max_rules`` or
+    ``max_conditions`` says so.
     """
     marked = labelled.select(
         (1 - F.col("quality")).cast("long").alias("bad"),
@@ -281,32 +296,34 @@ def learn(
         *FEATURES,
     )
     marked = write_table(marked, "labelled-measures")
-    cuts = _cuts(marked, bins)
-    rows = write_table(
-        marked.select("*", *[_bin(f, cuts[f]).alias(f"bin_{f}") for f in FEATURES]), "labelled-bins"
-    )
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        left = rows.filter(DecisionList(tuple(rules)).rejecting_rule() == 0)
-        grown: list[Condition] = []
-        while len(grown) < max_conditions:
-            best, _, p, n = _best(left.filter(~F.col("pruning") & _all(grown)), cuts)
-            if best is None or p == 0 or n == 0:
-                break
-            grown.append(best)
+    aside: Aside = frozenset()
+    left = None
+    while max_rules is None or len(rules) < max_rules:
+        if left is None:
+            # binned anew after each rule, so that what is left is told apart as finely as all was
+            uncovered = marked.filter(DecisionList(tuple(rules)).rejecting_rule() == 0)
+            cuts = _cuts(uncovered, bins)
+            left = uncovered.select("*", *[_bin(f, cuts[f]).alias(f"bin_{f}") for f in FEATURES])
+        grown = _grown(left.filter(~F.col("pruning")), aside, max_conditions)
         if not grown:
             break
         prefixes = [grown[:k] for k in range(1, len(grown) + 1)]
         pruned = left.filter("pruning").agg(
+            F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
             *[F.coalesce(F.sum(F.when(_all(c), F.col("bad"))), F.lit(0)).alias(f"p{k}") for k, c in enumerate(prefixes)],
             *[F.count(F.when(_all(c), 1)).alias(f"r{k}") for k, c in enumerate(prefixes)],
         ).first()
+        if pruned["bad"] < min_rows:
+            break
         worth = lambda k: (2 * pruned[f"p{k}"] - pruned[f"r{k}"]) / max(1, pruned[f"r{k}"])  # noqa: E731,B023
         best_prefix = max(range(len(prefixes)), key=lambda k: (worth(k), -k))
         hits, covered = pruned[f"p{best_prefix}"], pruned[f"r{best_prefix}"]
         if hits < min_rows or hits < min_precision * covered:
-            break
+            aside |= {(grown[0].feature, grown[0].above)}
+            continue
         rules.append(tuple(prefixes[best_prefix]))
+        left, aside = None, frozenset()  # what failed before may be worth something among the rows that are left
     return DecisionList(tuple(rules))
 
 
