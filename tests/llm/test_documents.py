@@ -90,6 +90,42 @@ def test_list_is_learned_with_its_order(spark):
     assert 0.6 < condition.threshold < 1.0
 
 
+def test_many_kinds_of_junk_are_covered(spark):
+    """Nine kinds, each seen by a feature of its own; the strongest condition does not generalise."""
+    rng, rows = random.Random(2), []
+    for k in range(6000):
+        kind = k % 24
+        values = [rng.random() for _ in quality_rules.FEATURES]
+        bad = kind < len(values)
+        if bad:
+            values[kind] = 2 + rng.random()
+        rows.append((k, int(not bad), *values))
+    names = ", ".join(f"{f} double" for f in quality_rules.FEATURES)
+    frame = spark.createDataFrame(rows, f"doc_id long, quality int, {names}")
+    learned = quality_rules.learn(frame)
+    assert {rule[0].feature for rule in learned.rules} == set(quality_rules.FEATURES)
+    verdict = frame.select("quality", (learned.rejecting_rule() == 0).alias("kept"))
+    # what is left of a kind is too little for a rule: fewer than four rows of the pruning third
+    assert verdict.filter("quality = 0 and kept").count() <= 9 * 3 * 4
+    assert verdict.filter("quality = 1 and not kept").count() <= 0.2 * 3750
+    assert len(quality_rules.learn(frame, max_rules=2).rules) == 2
+
+
+def test_a_rule_that_fails_does_not_end_covering(spark):
+    """``symbol_ratio`` tells rejects on the growing part only; ``digit_ratio`` tells others everywhere."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 5 > 1).cast("int").alias("quality"),
+        (F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(3)) == 0).alias("pruning"),
+    )
+    first = (F.col("doc_id") % 5 == 0) & ~F.col("pruning") | (F.col("doc_id") % 5 == 3) & F.col("pruning")
+    frame = rows.select("doc_id", "quality", *[
+        {"symbol_ratio": first, "digit_ratio": F.col("doc_id") % 5 == 1}.get(f, F.lit(False)).cast("double").alias(f)
+        for f in quality_rules.FEATURES
+    ])
+    learned = quality_rules.learn(frame)
+    assert [rule[0].feature for rule in learned.rules] == ["digit_ratio"]
+
+
 # --- classifier ---------------------------------------------------------------------
 
 
