@@ -62,6 +62,19 @@ def unmasked(frame: DataFrame, but: Sequence[str] = (), names: Sequence[str] | N
     ]
 
 
+# DuckDB: the remainders of all bytes, as a table ``checks``; the checksum's polynomial is reversed (fixed value).
+CRC32_CHECKS = """checks as (
+  select list(list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, b)
+              order by b) as of_byte
+  from range(256) r(b))"""
+
+
+def crc32_sql(data: str) -> str:
+    """DuckDB SQL for the checksum of a list of bytes, beside ``checks``."""
+    step = "xor(c // 256, of_byte[xor(c, b::bigint) % 256 + 1])"
+    return f"xor(4294967295, list_reduce({data}, lambda c, b: {step}, 4294967295))"
+
+
 def sample_order(key: Column, seed: int) -> Column:
     """A number that orders rows at random, the same in every run."""
     return F.xxhash64(F.lit(seed), key.cast("string"))

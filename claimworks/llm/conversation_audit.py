@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import handing_back
+from claimworks.llm.common import CRC32_CHECKS, crc32_sql, handing_back
 from claimworks.plans.workspace import write_lookup, write_table
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -554,8 +554,7 @@ def audit_conversations(conversations: DataFrame, block: int = BLOCK) -> DataFra
 def oracle_sql() -> str:
     """DuckDB SQL for :func:`audit_conversations` over the conversations table: the same rule as a recursion over
     turns whose four states are (cost, audit, lines) in that order."""
-    # the checksum's polynomial, reversed (fixed value)
-    step = "case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end"
+    code = "list_transform(string_split(key, ''), lambda c: unicode(c))"  # of ASCII
     white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     line = "role || ':' || text"
 
@@ -598,15 +597,13 @@ def oracle_sql() -> str:
     ]
     inserted = least("u", *[insert(x, "user") for x in "nsa"])
     return f"""
-with recursive checks as (
-  select list(list_reduce(range(8), lambda c, i: {step}, b) order by b) as of_byte from range(256) r(b)),
+with recursive {CRC32_CHECKS},
 keyed as (
   select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
          coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
   from conversations),
 hashed as (
-  select *, xor(4294967295, list_reduce(list_transform(string_split(key, ''), lambda c: unicode(c)::bigint),
-    lambda c, b: xor(c // 256, of_byte[xor(c, b) % 256 + 1]), 4294967295)) % 20 as kind
+  select *, {crc32_sql(code)} % 20 as kind
   from keyed, checks),
 harmed as (
   select conv_id, turn, case when kind = 4 then 'user' else role end as role,

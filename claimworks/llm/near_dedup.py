@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import handing_back, let, lower_ascii, masked, shingles, unmasked, words
+from claimworks.llm.common import LOWER, UPPER, handing_back, let, lower_ascii, masked, shingles, unmasked, words
 from claimworks.plans.workspace import write_lookup, write_table
 
 ROWS = 4  # minima in a band
@@ -457,3 +457,29 @@ def _one_of_each(docs: DataFrame, **options: int) -> DataFrame:
     others = [name for name in docs.columns if name != "doc_id"]
     one = several.groupBy("doc_id").agg(F.min_by(F.struct(*others), "text").alias("first"))
     return kept.unionByName(one.select("doc_id", "first.*"))
+
+
+def oracle_sql(size: int = 4, percent: int = 80) -> str:
+    """DuckDB SQL for :func:`near_duplicates` over the documents table, whose ids are unique."""
+    return rf"""
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as words
+  from documents),
+runs as (
+  select doc_id, unnest(range(greatest(len(words) - {size - 1}, 1))) as k, words from split where len(words) > 0),
+sets as (select distinct doc_id, array_to_string(words[k + 1 : k + {size}], ' ') as shingle from runs),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common
+  from sets a join sets b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * common >= {percent} * (x.n + y.n - common)),
+both_ways as (select a, b from links union select b, a from links),
+reached as (
+  select a as doc_id, b as other from both_ways
+  union select r.doc_id, w.b from reached r join both_ways w on r.other = w.a),
+least as (select doc_id, min(other) as other from reached group by doc_id)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.other, d.doc_id)) as kept
+from documents d left join sizes s on d.doc_id = s.doc_id left join least l on d.doc_id = l.doc_id"""

@@ -107,7 +107,9 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_sharding": sharding.oracle_sql(SHARDS),
     "op8_mixing": mixing.oracle_sql(MIX_WEIGHTS),
+    "op10_near_dedup": near_dedup.oracle_sql(size=4, percent=80),
     "op11_conversation_audit": conversation_audit.oracle_sql(),
     "op13_spelling_variants": spelling_variants.oracle_sql(),
 }

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimworks.llm.common import CRC32_CHECKS, crc32_sql
 from claimworks.plans.workspace import write_table
 
 LAW = "bytes"
@@ -94,3 +95,22 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def oracle_sql(shards: int = 24) -> str:
+    """DuckDB SQL for :func:`shard_documents` over the documents table, whose ids are unique."""
+    code = "list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda b: ('0x' || b)::bigint)"
+    return f"""
+with {CRC32_CHECKS},
+sized as (
+  select doc_id, strlen(coalesce(text, '')) + {OVERHEAD} as size, {crc32_sql(code)} as text_crc32
+  from documents, checks),
+placed as (
+  select *, sum(size) over () as total, coalesce(sum(size) over (
+    order by doc_id nulls first rows between unbounded preceding and 1 preceding), 0) as start
+  from sized),
+cut as (
+  select *, least({shards - 1}, (2 * start + size) * {shards} // (2 * total))::int as shard from placed)
+select doc_id, size::bigint as size, text_crc32, '{LAW}' as law, shard,
+       row_number() over (partition by shard order by doc_id nulls first) - 1 as slot, null::int as grown_shard
+from cut"""

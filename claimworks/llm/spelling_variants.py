@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import LOWER, UPPER, handing_back, let
+from claimworks.llm.common import CRC32_CHECKS, LOWER, UPPER, crc32_sql, handing_back, let
 from claimworks.plans.workspace import write_lookup, write_table
 
 # Letters that make words (fixed values).
@@ -290,20 +290,16 @@ def oracle_sql(shortest: int = 6, fewest: int = 5, errors_every: int = 199, rati
 
     Near words are found there by their rests after dropping a letter, not by letter counts.
     """
-    # the checksum's polynomial, reversed (fixed value)
-    step = "case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end"
+    code = "flatten(list_transform(points, lambda p: case when p < 128 then [p] else [192 + p // 64, 128 + p % 64] end))"
     return f"""
-with recursive checks as (
-  select list(list_reduce(range(8), lambda c, i: {step}, b) order by b) as of_byte from range(256) r(b)),
+with recursive {CRC32_CHECKS},
 met as (
   select doc_id, translate(run, '{UPPER}', '{LOWER}') as word, count(*) as n
   from (select doc_id, unnest(regexp_extract_all(text, '{LETTERS}+')) as run from documents) group by all),
 bytes as (
   select word, n, list_transform(string_split(concat(doc_id, ':', word), ''), lambda c: unicode(c)) as points from met),
 hashed as (
-  select word, n, xor(4294967295, list_reduce(
-    flatten(list_transform(points, lambda p: case when p < 128 then [p] else [192 + p // 64, 128 + p % 64] end)),
-    lambda c, b: xor(c // 256, of_byte[xor(c, b::bigint) % 256 + 1]), 4294967295)) as hash
+  select word, n, {crc32_sql(code)} as hash
   from bytes, checks),
 spelt as (
   select case when hash % {errors_every} = 0
