@@ -11,8 +11,12 @@ import argparse
 import logging
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,6 +176,17 @@ def run(
         )
 
 
+def _together(spark: SparkSession, *works: Callable[[], Any]) -> list:
+    """Results of works that do not depend on one another; their jobs share the cluster.
+
+    All are waited for, also if one fails; then the first error is raised.
+    """
+    with ThreadPoolExecutor(len(works)) as pool:
+        # tags and properties of the caller's thread hold for its jobs there, too
+        futures = [pool.submit(inheritable_thread_target(spark)(work)) for work in works]
+        return [future.result() for future in futures]
+
+
 # Counts when prepared rows of equal inputs change, so that stages of older code are not taken up.
 PREPARED_VERSION = 1
 
@@ -238,8 +253,11 @@ def _run(
     city = clean_city(city, normalize_keys)
     for name, frame in (("city", city), ("fact", rows)):
         log.info("clean %s: %s", name, frame.schema.simpleString())
-    city_result, city_seen = write_fingerprinted(reports.city_report(city, rows), "city-report")
-    presc_result, presc_seen = write_fingerprinted(reports.top_prescribers(rows, grain=grain), "prescriber-report")
+    (city_result, city_seen), (presc_result, presc_seen) = _together(
+        spark,
+        lambda: write_fingerprinted(reports.city_report(city, rows), "city-report"),
+        lambda: write_fingerprinted(reports.top_prescribers(rows, grain=grain), "prescriber-report"),
+    )
     expected = schemas.PRESCRIBER_REPORT if grain == reports.ROW else schemas.PRESCRIBER_TOTALS
     quality.require_contract(city_result, schemas.CITY_REPORT, "city report")
     quality.require_contract(presc_result, expected, "prescriber report")
@@ -249,8 +267,7 @@ def _run(
     computed = spark.createDataFrame(list(sizes.items()), "table_name string, row_count long")
     quality.require_rows(computed, "table_name").collect()  # two rows
     for sink in sinks:
-        for name, (report, seen) in written.items():
-            _load(report, name, sink, seen)
+        _together(spark, *[partial(_load, report, name, sink, seen) for name, (report, seen) in written.items()])
     counted = spark.createDataFrame(list(sizes.items()), "frame_name string, row_count long")
     counts = quality.row_counts({"df_city": city}).unionByName(counted).unionByName(fact_count)
     return Result(city_result, presc_result, counts, quality.preview(presc_result, preview_order()))

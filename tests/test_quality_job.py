@@ -201,3 +201,19 @@ def test_only_the_reports_stay_after_a_run(spark, cities, fact, tmp_path):
     left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
     assert left == {"city-report", "prescriber-report"}
     assert result.preview.count() == 1
+
+
+def test_works_that_run_together_are_all_waited_for(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("first")
+
+    def works():
+        ended.append(spark.range(5).count())
+        return ended[0]
+
+    with pytest.raises(ValueError, match="first"):
+        job._together(spark, fails, works)
+    assert ended == [5]
+    assert job._together(spark, works, works) == [5, 5]
