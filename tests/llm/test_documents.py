@@ -141,6 +141,54 @@ def test_classifier_held_out_accuracy(spark, sf_dir):
     assert np.mean([r.predicted == r.quality for r in held]) >= 0.95
 
 
+def test_vectors_and_scores_by_hand(spark, documents):
+    """Contexts, pooling and the network's forward pass, one number at a time."""
+    rng, rows, dim = random.Random(8), 64, 8
+    texts = [" ".join(rng.choices(["alpha", "beta", "12", "!!", "Ünï", "x_y"], k=rng.randrange(30))) for _ in range(40)]
+    texts += [None, "", "alone"]
+    place, sign = quality_classifier.index_vectors(rows, dim)
+    total = [[0.0] * dim for _ in range(rows)]
+    numbers = [
+        [zlib.crc32(t.encode()) % rows for t in re.findall(r"[^\W\d_]+|\d+|[^\w\s]+", text or "")] for text in texts
+    ]
+    for ids in numbers:
+        for i, own in enumerate(ids):
+            for j, other in enumerate(ids):
+                if 0 < abs(i - j) <= 2:
+                    for k in range(2):
+                        total[own][place[other][k]] += float(sign[other][k])
+    lengths = [sum(v * v for v in row) ** 0.5 or 1.0 for row in total]
+    vectors = [[v / n for v in row] for row, n in zip(total, lengths)]
+    found = quality_classifier.word_vectors(documents(*texts), rows, dim)
+    assert np.allclose(found, vectors, atol=1e-6)
+
+    normal = np.random.default_rng(1).normal
+    width, hidden = 2 * dim + 2, 3
+    net = quality_classifier.Network(
+        normal(size=width), 1 + normal(size=width) ** 2, normal(size=(width, hidden)), normal(size=hidden),
+        normal(size=hidden), 0.3, 1.7,
+    )
+
+    def by_hand(ids):
+        if ids:
+            mean = [sum(vectors[i][d] for i in ids) / len(ids) for d in range(dim)]
+            spread = [(max(0, sum(vectors[i][d] ** 2 for i in ids) / len(ids) - mean[d] ** 2)) ** 0.5 for d in range(dim)]
+            share = sum((ids.count(i) / len(ids)) ** 2 for i in set(ids))
+            x = [*mean, *spread, sum(m * m for m in mean) ** 0.5, share]
+        else:
+            x = [0.0] * width
+        z = [(v - c) / s for v, c, s in zip(x, net.centre, net.scale)]
+        layer = [np.tanh(sum(z[i] * net.w1[i][h] for i in range(width)) + net.b1[h]) for h in range(hidden)]
+        logit = sum(a * b for a, b in zip(layer, net.w2)) + net.b2
+        return 1 / (1 + np.exp(-logit / net.temperature))
+
+    scored = quality_classifier.score(documents(*texts), quality_classifier.Model(found, net)).collect()
+    assert len(scored) == len(texts)
+    for row in scored:
+        assert abs(row.score - by_hand(numbers[row.doc_id])) < 1e-4
+        assert row.predicted == (row.score >= 0.5)
+
+
 def test_classifier_edges(spark, documents):
     docs = documents(*ODD, (None, "text without id"), (0, "again"))
     labels = spark.createDataFrame([(0, 1), (1, None), (None, 0)], "doc_id long, quality int")
