@@ -139,7 +139,8 @@ def stage_table(
     facts about it.
 
     ``compute`` gives the frame and what returns the facts once it is written.  The facts are put beside
-    the table last, by renaming a file: a stage without them is not finished and is computed anew.
+    the table last, by renaming a file: a stage without them is not finished and is computed anew.  Two runs
+    with the same key must not compute it at the same time.
     """
     path = f"{root.rstrip('/')}/{label}-{key}"
     facts_path = f"{path}.facts/facts.json"
@@ -155,7 +156,8 @@ def stage_table(
         text.write.mode("overwrite").text(f"{path}.draft")
         [part] = [s.getPath() for s in system.listStatus(hold) if s.getPath().getName().startswith("part-")]
         system.mkdirs(done.getParent())
-        system.rename(part, done)
+        if not system.rename(part, done):
+            raise OSError(f"{facts_path} could not be written")
         system.delete(hold, True)
     kept = json.loads(spark.read.text(facts_path).first()[0])
     schema = T.StructType.fromJson(kept["schema"])

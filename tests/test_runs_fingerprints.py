@@ -241,3 +241,48 @@ def test_rows_of_a_repeated_task_come_once(loaded):
 def test_load_token_must_fit_a_table_name(report):
     with pytest.raises(ValueError, match="token"):
         tables.load_jdbc(report, "jdbc:x", "t", "a-b; drop", connect=Recorded)
+
+
+# --- from the command line -----------------------------------------------------------
+
+
+@pytest.fixture
+def arguments(cities, fact, tmp_path):
+    cities({"city": "springfield", "state_id": "il"}).write.parquet(f"{tmp_path}/city")
+    fact({}).write.parquet(f"{tmp_path}/fact")
+    return [
+        "--city", f"{tmp_path}/city", "--fact", f"{tmp_path}/fact", "--fact-format", "parquet", "--out", f"{tmp_path}/out",
+        "--normalize-keys",
+    ]
+
+
+def test_committed_runs_from_the_command_line(spark, arguments, tmp_path):
+    job.main([*arguments, "--sink", "committed", "--stamp", "s1"])
+    assert (tmp_path / "out/runs/city/_manifests/s1.json").exists()
+    assert runs.read_runs(spark, f"{tmp_path}/out/runs", "city", schemas.CITY_REPORT).count() == 1
+    with pytest.raises(ValueError, match="--stamp"):
+        job.main([*arguments, "--sink", "committed"])
+
+
+def test_the_database_sink_from_the_command_line(arguments, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tables, "load_jdbc", lambda df, url, table, token, properties, connect: seen.append(
+        (url, table, token, properties)))
+    job.main([*arguments, "--sink", "jdbc", "--jdbc-url", "jdbc:x", "--jdbc-property", "user=u", "--stamp", "s1"])
+    assert sorted(seen) == [("jdbc:x", name, "s1", {"user": "u"}) for name in ("city_report", "prescriber_report")]
+    with pytest.raises(ValueError, match="--jdbc-url"):
+        job.main([*arguments, "--sink", "jdbc"])
+
+
+def test_loaded_tables_are_checked_from_the_command_line(spark, tmp_path):
+    spark.range(3).write.option("path", f"{tmp_path}/t").saveAsTable("some_rows")
+    spark.range(0).write.option("path", f"{tmp_path}/e").saveAsTable("no_rows")
+    try:
+        job.main(["--check-tables", " some_rows"])
+        with pytest.raises(Exception, match="no rows in no_rows"):
+            job.main(["--check-tables", "some_rows, no_rows"])
+        with pytest.raises(SystemExit):
+            job.main(["--city", "x"])
+    finally:
+        for table in ("some_rows", "no_rows"):
+            spark.sql(f"drop table {table}")
