@@ -4,8 +4,8 @@ The model's protobuf is parsed here (a dozen fields of its wire format) and rebu
 tokenizer: the normaliser's character map, the white-space marker, unigram scores or the
 merge order that BPE scores stand for, and byte fallback.  Words are encoded in batches by
 the library's threads, each distinct word once per task, when no piece of the model reaches
-over a space; otherwise whole texts are.  What is encoded anew is encoded by the
-sentencepiece library as well, and a document's ``parity`` says whether all agreed.
+over a space; otherwise whole texts are.  Every whole text is encoded by the sentencepiece
+library as well, and a document's ``parity`` says whether the ids are the same.
 
 Decoding joins the bytes that the ids stand for; ``round_trip`` says whether that gives
 the normalised text again.
@@ -39,9 +39,6 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 TEXTS = 500  # encoded together
 THREADS = 2  # of one task
-DIFFERING = 100_000  # words that may be noted to differ; beyond, these and all encodings are forgotten
-# Remembered words of a generation where nothing is verified: encoding a word again is cheap then.
-UNVERIFIED_WORDS = 60_000
 
 
 @dataclass
@@ -195,19 +192,21 @@ ODD = re.compile(f"  |^ | $|{MARK}")
 class Codec:
     """Encodes, checks and decodes; one per task."""
 
-    def __init__(self, model: bytes, threads: int = THREADS, verify: bool = True) -> None:
+    def __init__(
+        self, model: bytes, threads: int = THREADS, verify: bool = True, words: int = CACHED_WORDS
+    ) -> None:
         # read by the library when its thread pool starts
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.spec = parse_model(model)
         self.tokenizer = build_tokenizer(self.spec)
-        self.verify, self.reference, self.differing = verify, None, set()
+        self.reference = None
         if verify:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(self.spec)
-        self.encoder = WordEncoder(self._encoded, ODD, CACHED_WORDS if verify else UNVERIFIED_WORDS)
+        self.encoder = WordEncoder(self._encoded, ODD, words)
         if not self.by_word:
             self.encoder.odd = re.compile("")  # every text whole
         self.bytes_of = [self._bytes_of(piece, kind) for piece, _, kind in self.spec.pieces]
@@ -225,25 +224,15 @@ class Codec:
         if not texts:
             return []
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if self.verify:
-            known = self.reference.encode(texts, num_threads=1)
-            self.differing.update(t for t, a, b in zip(texts, ids, known) if a != b)
         return [np.array(i, "<i4").tobytes() for i in ids]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.differing) > DIFFERING:
-            # a word whose encoding is remembered has been compared, and its mark is kept as long
-            self.differing.clear()
-            self.encoder.words.forget()
         return [np.frombuffer(ids, "<i4") for ids in self.encoder(texts)]
 
-    def agrees(self, text: str) -> bool:
-        """Whether all that ``text`` was made of agreed with the sentencepiece library."""
-        if not self.differing:
-            return True
-        if ODD.search(text) or not self.by_word:
-            return text not in self.differing
-        return self.differing.isdisjoint(text.split(" "))
+    def agrees(self, text: str, ids: np.ndarray | None = None) -> bool:
+        """Whether ``ids``, or what :meth:`encode` gives, are the sentencepiece library's of the whole text."""
+        ids = self.encode([text])[0] if ids is None else ids
+        return self.reference.encode(text) == ids.tolist()
 
     def decode(self, ids: np.ndarray) -> str:
         table = self.bytes_of
@@ -258,30 +247,29 @@ class Codec:
 
 
 @lru_cache(maxsize=1)
-def codec_of(model: bytes, threads: int, verify: bool) -> Codec:
+def codec_of(model: bytes, threads: int, verify: bool, words: int = CACHED_WORDS) -> Codec:
     """One codec per worker, whatever the number of its tasks."""
-    return Codec(model, threads, verify)
+    return Codec(model, threads, verify, words)
 
 
-def _coder(model: Broadcast, threads: int, verify: bool):
+def _coder(model: Broadcast, threads: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(model.value, threads, verify)
+        codec = codec_of(model.value, threads, True, words)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                # a word that differed may be forgotten only after its texts are judged
                 ids = codec.encode(texts)
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.concatenate([np.zeros(0, "<i4"), *ids])
                 trips = [codec.decode(i) == codec.normalised(t) for i, t in zip(ids, texts)]
-                parity = {"parity": pa.array([codec.agrees(t) for t in texts], pa.bool_())} if verify else {}
+                parity = [codec.agrees(t, i) for i, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
                         "n_tokens": pa.array(np.diff(ends).astype(np.int64)),
                         "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        **parity,
+                        "parity": pa.array(parity, pa.bool_()),
                         "round_trip": pa.array(trips, pa.bool_()),
                     }
                 )
@@ -290,21 +278,21 @@ def _coder(model: Broadcast, threads: int, verify: bool):
 
 
 def encode_documents(
-    docs: DataFrame, model_path: str, threads: int = THREADS, verify: bool = True
+    docs: DataFrame, model_path: str, threads: int = THREADS, words: int = CACHED_WORDS
 ) -> DataFrame:
     """doc_id, n_tokens, ids, parity and round_trip of every document.
 
-    Without ``verify`` the sentencepiece library is not loaded and there is no ``parity``.  ``model_path`` names a model file that the driver can read; it is broadcast (a MB or so).
+    ``model_path`` names a model file that the driver can read; it is broadcast (a MB or so).  A worker
+    remembers the ids of at most twice ``words`` words; with fewer it needs less memory and encodes more anew.
     """
     with open(model_path, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    parity = "parity boolean, " * verify
     return narrow.mapInArrow(
-        handing_back(_coder(model, threads, verify)),
-        f"doc_id long, n_tokens long, ids array<int>, {parity}round_trip boolean",
+        handing_back(_coder(model, threads, words)),
+        "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean",
     )
 
 

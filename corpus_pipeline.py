@@ -15,6 +15,9 @@ from claimworks.llm.common import table
 from claimworks.llm.queries import MIX_WEIGHTS, PIECES
 from claimworks.plans.workspace import write_table
 
+# Words whose ids a worker of the last stage remembers, besides what the stages before have left in memory.
+REMEMBERED_WORDS = 60_000
+
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the learned list rejects go."""
@@ -38,8 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix; that they equal the other library's is op9's to show."""
-    return sentencepiece_codec.encode_documents(docs, PIECES, verify=False)
+    """Ids of every document of the mix, checked against the other library and decoded again."""
+    return sentencepiece_codec.encode_documents(docs, PIECES, words=REMEMBERED_WORDS)
 
 
 STAGES = [

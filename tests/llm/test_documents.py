@@ -401,6 +401,15 @@ def test_unigram_models_equal_the_library(rule, fallback):
         assert codec.agrees(text)
 
 
+def test_parity_is_of_whole_texts():
+    codec = sentencepiece_codec.Codec(open(queries.PIECES, "rb").read())
+    text = "ein Haus am See"
+    assert codec.agrees(text)
+    codec.encoder.words.known["Haus"] = codec.encode(["Baum"])[0].tobytes()  # joins other ids
+    assert not codec.agrees(text)
+    assert codec.agrees("ein See")
+
+
 def test_decoding_equals_the_tokenizer():
     data = open(queries.PIECES, "rb").read()
     codec = sentencepiece_codec.Codec(data)
@@ -540,6 +549,13 @@ def test_pipeline(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).columns == at.columns
 
 
+def test_the_last_stage_of_the_pipeline_compares_with_the_other_library(spark, documents):
+    texts = ["ein Haus am  See", "▁x y", "<s> 日本 語 😀", ""]
+    rows = corpus_pipeline.tokens(spark, documents(*texts, (None, None)), "").collect()
+    assert len(rows) == len(texts) + 1
+    assert all(r.parity and r.round_trip for r in rows)
+
+
 def test_pipeline_stage_by_stage_on_odd_rows(spark, sf_dir, tmp_path):
     """Null ids, texts and sources, repeated and empty rows, clashing columns: each stage against what its
     operator says of its own input, and the ids of the last against the library."""
