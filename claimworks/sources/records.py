@@ -1,13 +1,13 @@
 """Records of CSV files whose quoted values hold line breaks, cut from splits that are read apart.
 
 A line break ends a record only outside quotes, so a split alone does not tell where its records
-begin.  But it tells how many quotes it holds, and its lines' records for both cases, that the split
-begins outside quotes or inside.  The numbers of quotes add up over the splits of a file, which
-gives each split its case.  Lines that are records stay where they are; only the lines of longer
-records meet, by file and place of the first one.
+begin.  But it tells how many of its lines hold an odd number of quotes, after each of which the text is on
+the other side of them.  These numbers add up over the splits of a file, which tells of each split
+whether it begins inside quotes.  Knowing that, the lines of a record are joined where they are read; only
+the two ends of a record that two splits share meet, by file and split of the first one.
 
-A file is never read by one task.  The text is scanned three times: for the splits' numbers of quotes, for
-the lines that are records, and for the others, of which only the few that there are leave the scan.
+A file is never read by one task.  The text is scanned three times: for the splits' numbers, for the
+records inside a split, and, of the splits that begin or end inside quotes, for the ends of the others.
 """
 
 from __future__ import annotations
@@ -23,100 +23,137 @@ from pyspark.sql import functions as F
 from claimworks.plans.workspace import write_lookup
 
 QUOTE = '"'
-# ``before``: quotes of the split before the line, even (0) or odd (1); ``first_0`` and ``first_1``: number of
-# the first line of the line's record if the split begins outside or inside quotes, -1 if it lies in
-# an earlier split.
-LINES = "file string, split long, line long, value string, before int, quotes int, first_0 long, first_1 long"
-
-
-class _Numbered:
-    """Running numbers of one split."""
-
-    def __init__(self) -> None:
-        self.lines, self.quotes, self.first = 0, 0, [-1, -1]
-
-    def add(self, quotes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """line, before, first_0 and first_1 of the next lines."""
-        lines = self.lines + np.arange(len(quotes))
-        after = self.quotes + np.cumsum(quotes)
-        before = (after - quotes) % 2
-        firsts = []
-        for inside in (0, 1):
-            # a line begins a record where the quotes so far, with those before the split, are even
-            begun = np.where((before + inside) % 2 == 0, lines, -1)
-            firsts.append(np.maximum.accumulate(np.maximum(begun, self.first[inside])))
-            self.first[inside] = firsts[-1][-1]
-        self.lines, self.quotes = self.lines + len(quotes), int(after[-1]) % 2
-        return lines, before, *firsts
-
-
-def _quotes(values: pa.Array, escape: str) -> np.ndarray:
-    """Quotes of each line that begin or end a quoted value, or come in pairs."""
-    if escape != QUOTE:
-        values = pc.replace_substring_regex(values, f"\\Q{escape}\\E.", "")
-    return pc.count_substring(values, QUOTE).to_numpy(zero_copy_only=False).astype(np.int64)
+# Ends of a record that two splits share (fixed values).
+BEGUN, ENDED = 0, 1
+SHARED = "file string, first_split long, part int, value string"
+
+
+def _joined(pieces: list[pa.Array], ends: np.ndarray) -> pa.Array:
+    """The lines of ``pieces`` as records, of which each ends before one of ``ends``."""
+    lines = pa.concat_arrays(pieces)
+    if len(ends) == len(lines):
+        return lines
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+
+
+class _Split:
+    """The lines of one split, in batches."""
+
+    def __init__(self, file: str, split: int, open_split: int | None) -> None:
+        self.file, self.split, self.open_split = file, split, open_split
+        # whether the next line lies inside quotes, and whether its record began in an earlier split
+        self.inside = self.headless = open_split is not None
+        self.pieces: list[pa.Array] = []  # lines of the record that has not ended
+
+    def add(self, lines: pa.Array, odd: np.ndarray) -> tuple[pa.Array | None, pa.Array | None]:
+        """The end of the record that an earlier split began, and the records that end in these lines."""
+        after = (self.inside + np.cumsum(odd)) % 2
+        self.inside = bool(after[-1])
+        ends = np.flatnonzero(after == 0) + 1
+        if not len(ends):
+            self.pieces.append(lines)
+            return None, None
+        before, last = sum(map(len, self.pieces)), int(ends[-1])
+        found = _joined([*self.pieces, lines.slice(0, last)], before + ends)
+        self.pieces = [lines.slice(last)] if last < len(lines) else []
+        if not self.headless:
+            return None, found
+        self.headless = False
+        return found.slice(0, 1), found.slice(1)
+
+    def rest(self) -> pa.Array | None:
+        """The beginning of the record that the split does not end."""
+        if not self.pieces:
+            return None
+        if self.headless:
+            raise ValueError(f"a file was changed while it was read: {self.file}")
+        return _joined(self.pieces, np.array([sum(map(len, self.pieces))]))
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch, cut where another split begins."""
+    begins = np.zeros(max(batch.num_rows - 1, 0), bool)
+    for name in ("file", "split"):
+        column = batch.column(name)
+        begins |= pc.not_equal(column.slice(1), column.slice(0, len(begins))).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(begins) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def _shared(split: _Split, part: int, value: pa.Array) -> pa.RecordBatch:
+    first = split.split if part == BEGUN else split.open_split
+    return pa.RecordBatch.from_pydict(
+        {
+            "file": pa.array([split.file]), "first_split": pa.array([first], pa.int64()),
+            "part": pa.array([part], pa.int32()), "value": value,
+        }
+    )
 
 
-def _number(escape: str):
+def _cut(shared: bool):
+    """For ``mapInArrow``: the records inside splits or, if ``shared``, the ends of the others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, numbers = None, _Numbered()
+        split = None
         for batch in batches:
-            files, splits = batch.column("file").to_pylist(), batch.column("split").to_pylist()
-            places = list(zip(files, splits))
-            begins = [k for k in range(len(places)) if k == 0 or places[k] != places[k - 1]]
-            for start, end in zip(begins, [*begins[1:], len(places)]):
-                if places[start] != at:
-                    at, numbers = places[start], _Numbered()
-                part = batch.slice(start, end - start)
-                quotes = _quotes(part.column("value"), escape)
-                lines, before, first_0, first_1 = numbers.add(quotes)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "file": part.column("file"), "split": part.column("split"), "line": lines,
-                        "value": part.column("value"), "before": before.astype(np.int32),
-                        "quotes": quotes.astype(np.int32), "first_0": first_0, "first_1": first_1,
-                    }
-                )
+            for part in _parts(batch):
+                place = tuple(part.column(name)[0].as_py() for name in ("file", "split", "open_split"))
+                if split is None or place != (split.file, split.split, split.open_split):
+                    rest = split and split.rest()
+                    if shared and rest is not None:
+                        yield _shared(split, BEGUN, rest)
+                    split = _Split(*place)
+                odd = part.column("odd").to_numpy(zero_copy_only=False)
+                end, records = split.add(part.column("value"), odd)
+                if shared and end is not None:
+                    yield _shared(split, ENDED, end)
+                elif not shared and records is not None:
+                    yield pa.RecordBatch.from_arrays([records], ["value"])
+        rest = split and split.rest()
+        if shared and rest is not None:
+            yield _shared(split, BEGUN, rest)
 
     return run
 
 
-def _numbered_lines(spark: SparkSession, path: str, escape: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, escape: str) -> DataFrame:
+    """file, split and value of each line, and whether it holds an odd number of quotes: of those that begin or
+    end a quoted value, or come in pairs."""
     lines = spark.read.option("lineSep", "\n").text(path)
+    text = F.col("value")
+    if escape != QUOTE:
+        escapes = F.contains(text, F.lit(escape))
+        text = F.when(escapes, F.regexp_replace(text, f"(?s)\\Q{escape}\\E.", "")).otherwise(text)
     placed = lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        text.alias("text"),
     )
-    return placed.mapInArrow(_number(escape), LINES)
+    quotes = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(QUOTE), F.lit("")))
+    return placed.select("file", "split", "value", (quotes % 2 == 1).alias("odd"))
 
 
 def split_cases(spark: SparkSession, path: str, escape: str) -> DataFrame:
-    """Per split: whether it begins inside quotes (0 or 1), and split and line that the record open there
-    began at.
+    """The splits that begin or end inside quotes; for the former, the split that the record open there
+    began in.
 
     Raises where a whole split lies inside one value: a quote is missing, or the value is
     longer than a split.
     """
-    even_after = (F.col("before") + F.col("quotes")) % 2 == 0
-    totals = _numbered_lines(spark, path, escape).groupBy("file", "split").agg(
-        F.sum("quotes").alias("quotes"), F.max("first_0").alias("last_0"), F.max("first_1").alias("last_1"),
-        F.count_if(even_after).alias("ends_0"), F.count_if(~even_after).alias("ends_1"),
-    )
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).cast("int")
-    cases = totals.withColumn("inside", inside)
-    last = F.when(F.col("inside") == 0, F.col("last_0")).otherwise(F.col("last_1"))
-    # a record begins in a split that has none only if it began before
-    begun = F.when(last >= 0, F.struct("split", last.alias("line")))
-    cases = cases.withColumn("open", F.last(begun, ignorenulls=True).over(earlier))
-    ends = F.when(F.col("inside") == 0, F.col("ends_0")).otherwise(F.col("ends_1"))
-    spans = F.when((last >= 0) | (ends > 0), True).otherwise(
+    totals = _lines(spark, path, escape).groupBy("file", "split").agg(F.count_if("odd").alias("odds"))
+    in_order = Window.partitionBy("file").orderBy("split")
+    so_far = F.sum("odds").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    cases = totals.withColumns({"so_far": so_far, "earlier": F.lag("split").over(in_order)})
+    inside, ends_inside = (F.col("so_far") - F.col("odds")) % 2 == 1, F.col("so_far") % 2 == 1
+    spans = F.when(~inside | (F.col("odds") > 0), inside | ends_inside).otherwise(
         F.raise_error(
             F.concat(F.lit("a quoted value spans a whole split, is a quote missing? "), F.col("file"))
         ).cast("boolean")
     )
-    return cases.filter(spans).select(
-        "file", "split", "inside", F.col("open.split").alias("open_split"), F.col("open.line").alias("open_line")
-    )
+    # a split that is inside quotes at its end has begun the record that is open there
+    return cases.filter(spans).select("file", "split", F.when(inside, F.col("earlier")).alias("open_split"))
 
 
 def csv_records(spark: SparkSession, path: str, escape: str = "\\") -> DataFrame:
@@ -127,20 +164,27 @@ def csv_records(spark: SparkSession, path: str, escape: str = "\\") -> DataFrame
     """
     lookup = write_lookup(split_cases(spark, path, escape), "csv-splits")
     cases = lookup.frame.withColumnsRenamed({"file": "_file", "split": "_split"})
-    lines = _numbered_lines(spark, path, escape)
+    lines = _lines(spark, path, escape)
     same = (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))
-    cased = lines.join(F.broadcast(cases) if lookup.fits_broadcast() else cases, same)
-    begins_inside = (F.col("inside") + F.col("before")) % 2 == 1
-    ends_inside = (F.col("inside") + F.col("before") + F.col("quotes")) % 2 == 1
-    first = F.when(F.col("inside") == 0, F.col("first_0")).otherwise(F.col("first_1"))
-    placed = cased.select(
-        "file", "split", "line", "value", (~begins_inside & ~ends_inside).alias("whole"),
-        F.when(first >= 0, F.col("split")).otherwise(F.col("open_split")).alias("first_split"),
-        F.when(first >= 0, first).otherwise(F.col("open_line")).alias("first_line"),
+
+    def cased(how: str) -> DataFrame:
+        columns = "file", "split", "open_split", "odd", "value"
+        if lookup.fits_broadcast():
+            return lines.join(F.broadcast(cases), same, how).select(*columns)
+        # a join that shuffles takes the lines of a split apart and out of their order
+        numbered = lines.withColumn("line", F.monotonically_increasing_id()).join(cases, same, how)
+        return numbered.repartition("file", "split").sortWithinPartitions("file", "split", "line").select(*columns)
+
+    whole = cased("left").mapInArrow(_cut(shared=False), "value string")
+    parts = cased("inner").mapInArrow(_cut(shared=True), SHARED).groupBy("file", "first_split").agg(
+        F.array_sort(F.collect_list(F.struct("part", "value"))).alias("parts")
+    )
+    begun = F.when(F.col("parts")[0]["part"] == BEGUN, True).otherwise(
+        F.raise_error(F.concat(F.lit("a file was changed while it was read: "), F.col("file"))).cast("boolean")
     )
-    whole = placed.filter("whole").select("value")
-    parts = placed.filter("not whole").groupBy("file", "first_split", "first_line").agg(
-        F.array_sort(F.collect_list(F.struct("split", "line", "value"))).alias("lines")
+    joined = parts.filter(begun).select(
+        F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("value")
     )
-    joined = parts.select(F.array_join(F.transform("lines", lambda line: line["value"]), "\n").alias("value"))
-    return whole.unionByName(joined).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
+    ends = F.endswith("value", F.lit("\r"))
+    unended = F.when(ends, F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value"))
+    return whole.unionByName(joined).select(unended.alias("value"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from claimworks import schemas
+from claimworks.plans import workspace
 from claimworks.sources import readers, records
 
 
@@ -97,3 +98,43 @@ def test_the_fact_with_line_breaks_and_bad_records(spark, tmp_path):
     assert (kept.count(), [r[0] for r in bad.collect()]) == (2, ['2,"short\n"'])
     # without it each of their lines is malformed
     assert readers.split_malformed(spark, f"{tmp_path}/f.csv", schemas.PRESCRIBER_FACT)[0].count() == 0
+
+
+def shuffled_records(plan):
+    """Rows that the exchanges of an executed plan have written."""
+    text = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            text.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+
+    walk(plan)
+    return sum(text)
+
+
+def test_lines_are_joined_where_they_are_read(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("".join(f'{k},"one\ntwo\n",x\n' for k in range(2000)))
+    frame = records.csv_records(spark, f"{tmp_path}/f.csv")
+    assert len(frame.collect()) == 2000
+    # no record is shared by splits here
+    assert shuffled_records(frame._jdf.queryExecution().executedPlan()) == 0
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_records_over_small_batches_and_without_a_broadcast(spark, tmp_path, conf, monkeypatch, batch, broadcast):
+    conf(files__maxPartitionBytes=40, files__openCostInBytes=1, execution__arrow__maxRecordsPerBatch=batch)
+    if not broadcast:
+        monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
+    texts = ['1,"a\n\nb"\r\n\n2,"c""\n""d",x\n' * 20, 'x\n"y\\"\n"\n' * 9 + '3,"open\n\nx', "\n", "no end"]
+    for k, text in enumerate(texts):
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+    found = [r.value for r in records.csv_records(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(r for text in texts for r in by_hand(text))
