@@ -42,7 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix, checked against the other library and decoded again."""
-    return sentencepiece_codec.encode_documents(docs, PIECES, words=REMEMBERED_WORDS)
+    return sentencepiece_codec.encode_documents(docs, PIECES, whole=True, words=REMEMBERED_WORDS)
 
 
 STAGES = [
